@@ -59,8 +59,8 @@ def _billing_columns(keys: Sequence[str], joined: DataFrame) -> DataFrame:
     lines = F.sum(F.coalesce("_lines", F.lit(0)))
 
     def mean(total: str, places: str) -> Column:
-        average = (F.sum(total) / lines).cast("double")
-        return F.coalesce(F.round(average, 2), F.lit(0.0)).cast(places).cast("double")
+        average = F.round(F.sum(total) / lines, 2)
+        return F.coalesce(average.cast(places).cast("double"), F.lit(0.0))
 
     return joined.groupBy(*keys).agg(
         F.count("_order").alias("order_count"),

@@ -60,7 +60,7 @@ def _part_days_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-@query(f"""SELECT _id, round(p_retailprice, 4) AS price, _valid_from, lead(_valid_from) OVER (
+@query(f"""SELECT _id, p_retailprice AS price, _valid_from, lead(_valid_from) OVER (
   PARTITION BY _id ORDER BY _valid_from) AS _valid_to FROM ({_part_days_sql()})""")
 def daily_price_drift(spark, sf_dir):
     part = logs.table(spark, sf_dir, "part").select(F.col("p_partkey").alias(ID), "p_retailprice")
@@ -68,7 +68,7 @@ def daily_price_drift(spark, sf_dir):
     rows = reports.drift(
         first, DAYS, lambda n: {"p_retailprice": F.col("p_retailprice") * (1 + 0.01 * n)}, first_tx=0)
     return VersionedTable(dml.append(first.log, rows), open_ended=True).all_versions().select(
-        ID, F.round("p_retailprice", 4).alias("price"), VALID_FROM, VALID_TO)
+        ID, F.col("p_retailprice").alias("price"), VALID_FROM, VALID_TO)
 
 
 BILLED_AT = "1999-06-30 23:59:59"
@@ -77,10 +77,18 @@ TREND = ("1996-12-31 23:59:59", "1998-06-30 23:59:59", "2000-01-01 00:00:00", "2
 _BILLING_MEASURES = """count(DISTINCT o_orderkey) AS order_count, count(l_orderkey) AS line_item_count,
   CAST(round(coalesce(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(24,6))), 0), 2)
     AS DOUBLE) AS total_revenue,
-  CAST(round(coalesce(CAST(sum(CAST(l_extendedprice AS DECIMAL(24,6))) AS DOUBLE)
-    / nullif(count(l_orderkey), 0), 0), 2) AS DOUBLE) AS avg_line_price,
-  CAST(round(coalesce(CAST(sum(CAST(l_discount AS DECIMAL(24,6))) AS DOUBLE)
-    / nullif(count(l_orderkey), 0), 0), 2) AS DOUBLE) AS avg_discount"""
+  {price} AS avg_line_price, {discount} AS avg_discount"""
+
+
+def _mean_sql(column: str) -> str:
+    """Average rounded half up to cents in whole numbers, so binary halves cannot differ."""
+    millionths = f"CAST(sum(CAST({column} AS DECIMAL(24,6))) * 1000000 AS HUGEINT)"
+    n = "nullif(count(l_orderkey), 0)"
+    return (f"CAST(coalesce((2 * {millionths} + {n} * 10000) // (2 * {n} * 10000), 0) AS DOUBLE) / 100")
+
+
+_BILLING_MEASURES = _BILLING_MEASURES.format(
+    price=_mean_sql("l_extendedprice"), discount=_mean_sql("l_discount"))
 
 
 @query(f"""WITH c_log AS ({logs.CUSTOMERS_SQL}), o_log AS ({logs.ORDERS_SQL}),
@@ -101,12 +109,12 @@ def billing_report(spark, sf_dir, instant=BILLED_AT):
 
 def _trend_sql() -> str:
     instants = ", ".join(f"(TIMESTAMP '{t}')" for t in TREND)
-    return f"""WITH at AS (SELECT * FROM (VALUES {instants}) AS v(as_of)),
+    return f"""WITH moments AS (SELECT * FROM (VALUES {instants}) AS v(as_of)),
       c_log AS ({logs.CUSTOMERS_SQL}), o_log AS ({logs.ORDERS_SQL}), l_log AS ({logs.LINES_SQL}),
       {versions_ctes('c_log', 'cv')}, {versions_ctes('o_log', 'ov')}, {versions_ctes('l_log', 'lv')},
-      c AS (SELECT * FROM cv JOIN at ON _valid_from <= as_of AND (_valid_to IS NULL OR _valid_to > as_of)),
-      o AS (SELECT * FROM ov JOIN at ON _valid_from <= as_of AND (_valid_to IS NULL OR _valid_to > as_of)),
-      l AS (SELECT * FROM lv JOIN at ON _valid_from <= as_of AND (_valid_to IS NULL OR _valid_to > as_of))
+      c AS (SELECT * FROM cv JOIN moments ON _valid_from <= as_of AND (_valid_to IS NULL OR _valid_to > as_of)),
+      o AS (SELECT * FROM ov JOIN moments ON _valid_from <= as_of AND (_valid_to IS NULL OR _valid_to > as_of)),
+      l AS (SELECT * FROM lv JOIN moments ON _valid_from <= as_of AND (_valid_to IS NULL OR _valid_to > as_of))
       SELECT c.as_of, count(DISTINCT c_custkey) AS customers, {_BILLING_MEASURES}
       FROM c LEFT JOIN o ON c_custkey = o_custkey AND c.as_of = o.as_of
       LEFT JOIN l ON o_orderkey = l_orderkey AND o.as_of = l.as_of GROUP BY c.as_of"""
@@ -172,7 +180,7 @@ def _corrections_sql() -> str:
                           .replace("1.03D", "CAST(1.03 AS DOUBLE)").replace("1.02D", "CAST(1.02 AS DOUBLE)"), c)
             for c, e in changes.items())
         hit = where or "true"
-        shown = f"round({number}, 4) AS number, {text} AS text"
+        shown = f"{number} AS number, {text} AS text"
         parts.append(
             f"SELECT '{name}' AS table_name, _id, {shown}, TIMESTAMP '{LOADED_AT}' AS _valid_from, "
             f"CASE WHEN {hit} THEN TIMESTAMP '{CORRECTED_AT}' END AS _valid_to "
@@ -198,7 +206,7 @@ def bulk_corrections(spark, sf_dir):
         number, text = SHOWN[name]
         after = VersionedTable(dml.append(table.log, writes[name]), open_ended=True)
         shown.append(after.all_versions().select(
-            F.lit(name).alias("table_name"), ID, F.round(F.expr(number), 4).alias("number"),
+            F.lit(name).alias("table_name"), ID, F.expr(number).alias("number"),
             F.expr(text).alias("text"), VALID_FROM, VALID_TO))
     result = shown[0]
     for part in shown[1:]:

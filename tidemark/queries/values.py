@@ -51,7 +51,6 @@ def coalesce_fn(spark, sf_dir):
 @query("""SELECT c_custkey, CAST(CAST(c_acctbal AS DECIMAL(10,1)) AS DOUBLE) AS tenth,
   CAST(CAST(c_acctbal AS DECIMAL(10,2)) AS DOUBLE) AS cents FROM customer""")
 def cast_decimal(spark, sf_dir):
-    # Through cents first, so a binary half never decides the rounding.
     cents = F.col("c_acctbal").cast("decimal(10,2)")
     tenth = F.col("c_acctbal").cast("decimal(10,1)")
     return logs.table(spark, sf_dir, "customer").select(
@@ -64,12 +63,12 @@ def year_diff(spark, sf_dir, as_of="2002-01-01"):
         "o_orderkey", temporal.age(F.col("o_orderdate"), F.lit(as_of).cast("date")).alias("age"))
 
 
-@query("""SELECT o_orderkey, DATE '1998-01-01' AS day, TIMESTAMP '1998-01-01 06:30:00' AS moment,
+@query("""SELECT o_orderkey, CAST(DATE '1998-01-01' AS TIMESTAMP) AS day, TIMESTAMP '1998-01-01 06:30:00' AS moment,
   o_orderdate >= TIMESTAMP '1998-01-01 06:30:00' AS later FROM orders""")
 def typed_literals(spark, sf_dir):
     moment = F.expr("timestamp_ntz'1998-01-01 06:30:00'")
     return logs.table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.expr("date'1998-01-01'").alias("day"), moment.alias("moment"),
+        "o_orderkey", F.expr("date'1998-01-01'").cast("timestamp_ntz").alias("day"), moment.alias("moment"),
         (F.col("o_orderdate") >= moment).alias("later"))
 
 

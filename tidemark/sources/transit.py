@@ -48,7 +48,7 @@ def _line_to_json(line: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def to_json_text(lines: pd.Series) -> pd.Series:
     return lines.map(_line_to_json)
 
