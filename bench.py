@@ -33,6 +33,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tidemark-bench")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")

@@ -16,6 +16,7 @@ from tidemark.columns import (
     instant_literal, instant_type, micros, payload_columns,
 )
 from tidemark.plans import resolve
+from tidemark.plans.skew import KeyProfile
 
 
 def append(log: DataFrame, *writes: DataFrame) -> DataFrame:
@@ -61,22 +62,23 @@ def put(
     return _as_log(rows, tx, system_from, PUT, F.lit(0) if position is None else position, data_type)
 
 
-def affected(log: DataFrame, start, end=None, open_ended: bool = False) -> DataFrame:
+def affected(
+    log: DataFrame, start, end=None, open_ended: bool = False, prof: KeyProfile | None = None
+) -> DataFrame:
     """Versions overlapping ``[start, end)``, clipped to it.
 
-    Writes are clipped before they are resolved, so history before ``start`` folds
-    into ties at ``start`` and long-closed writes never leave the scan.
+    Starts are clipped before resolution, so history before ``start`` folds into ties
+    at ``start`` and long-closed writes never leave the scan.  Ends are clipped after,
+    so a log without bounded writes stays one.
     """
     kind = instant_type(log)
     low, high = instant_literal(start, kind), instant_literal(end, kind)
-    overlapping = log.where(F.col(VALID_TO).isNull() | (F.col(VALID_TO) > low))
-    clipped_end = F.col(VALID_TO)
+    reaching = log.where(F.col(VALID_TO).isNull() | (F.col(VALID_TO) > low))
     if end is not None:
-        overlapping = overlapping.where(F.col(VALID_FROM) < high)
-        clipped_end = F.least(VALID_TO, high)
-    clipped = overlapping.withColumns({
-        VALID_FROM: F.greatest(VALID_FROM, low), VALID_TO: clipped_end})
-    return resolve.versions(clipped, open_ended=open_ended and end is None)
+        reaching = reaching.where(F.col(VALID_FROM) < high)
+    reaching = reaching.withColumn(VALID_FROM, F.greatest(VALID_FROM, low))
+    found = resolve.versions(reaching, open_ended, prof=prof)
+    return found if end is None else found.withColumn(VALID_TO, F.least(VALID_TO, high))
 
 
 def update(
@@ -87,15 +89,16 @@ def update(
     where: Column | None = None,
     until=None,
     open_ended: bool = False,
+    prof: KeyProfile | None = None,
 ) -> DataFrame:
     """UPDATE .. SET .. WHERE .. for a portion of valid time, ``[at, until)``.
 
     Every version inside the portion that satisfies ``where`` is put again with the
     changes, for just its share of the portion; versions sticking out are split by
-    resolution, not by rewriting.  ``open_ended`` says the log has no bounded write
-    and none starting after ``at``, so each new put may stay open too.
+    resolution, not by rewriting.  ``open_ended`` says no write of the log is bounded.
+    The new puts are bounded where a version ends, before a future one for instance.
     """
-    rows = affected(log, at, until, open_ended)
+    rows = affected(log, at, until, open_ended, prof)
     if where is not None:
         rows = rows.where(where)
     kind = instant_type(log)
@@ -105,10 +108,11 @@ def update(
 
 
 def delete_where(
-    log: DataFrame, where: Column, tx: int, at, until=None, open_ended: bool = False
+    log: DataFrame, where: Column, tx: int, at, until=None, open_ended: bool = False,
+    prof: KeyProfile | None = None,
 ) -> DataFrame:
     """DELETE .. WHERE: end validity of matching versions inside ``[at, until)``."""
-    rows = affected(log, at, until, open_ended).where(where)
+    rows = affected(log, at, until, open_ended, prof).where(where)
     kind = instant_type(log)
     rows = rows.select(ID, VALID_FROM, VALID_TO)
     return _as_log(rows, tx, at, DELETE, micros(F.col(VALID_FROM), kind), kind)
@@ -132,7 +136,8 @@ def erase(ids: DataFrame, tx: int) -> DataFrame:
 
 
 def patch(
-    log: DataFrame, patches: DataFrame, tx: int, at, provided: str | None = None
+    log: DataFrame, patches: DataFrame, tx: int, at, provided: str | None = None,
+    open_ended: bool = False, prof: KeyProfile | None = None,
 ) -> DataFrame:
     """PATCH: overwrite the given keys from ``at`` on, keep the others.
 
@@ -151,7 +156,7 @@ def patch(
             VALID_FROM: instant_literal(at, kind), VALID_TO: F.lit(None).cast(kind)}),
         tx, at, PUT, F.lit(-1), kind)
     wanted = log.join(patches.select(ID).distinct(), ID, "left_semi")
-    before = affected(wanted, at).alias("b")
+    before = affected(wanted, at, open_ended=open_ended, prof=prof)
     news = patches.select(
         ID, *[F.col(k).alias(f"_new_{k}") for k in keys],
         *[given[k].alias(f"_has_{k}") for k in keys])

@@ -145,12 +145,10 @@ class Correction:
 
 def bulk_corrections(
     tables: Mapping[str, VersionedTable], rules: Mapping[str, Correction], tx: int, at
-) -> dict[str, DataFrame]:
-    """Log rows of one transaction that corrects several tables from ``at`` on."""
+) -> dict[str, VersionedTable]:
+    """Several tables after one transaction that corrects them from ``at`` on."""
     return {
-        name: dml.update(
-            tables[name].visible(), rule.changes, tx, at, rule.where,
-            open_ended=tables[name].open_ended)
+        name: tables[name].update(rule.changes, tx, at, rule.where)
         for name, rule in rules.items()
     }
 

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tidemark.columns import (
     ID, LOG_COLUMNS, PUT, OP, SYSTEM_FROM, TX, VALID_FROM, VALID_TO, instant_literal, instant_type,
 )
+from tidemark.operators import dml
 from tidemark.plans import resolve, visibility
+from tidemark.plans.skew import KeyProfile, profile
 
 
 @dataclass(frozen=True)
@@ -28,6 +30,47 @@ class VersionedTable:
     erasures: DataFrame | None = None
     basis: int | None = None
     rows_per_task: int | None = None
+    prof: KeyProfile | None = None
+
+    def profiled(self) -> VersionedTable:
+        """The table with its writes counted per id, so later reads need not count.
+
+        Counted on the raw log: what visibility hides can only lower the counts.
+        """
+        if self.prof is not None:
+            return self
+        return replace(self, prof=profile(self.log.select(ID), self.rows_per_task))
+
+    def after(self, *writes: DataFrame, open_ended: bool = False) -> VersionedTable:
+        """The table after statements derived from it (update, delete, patch).
+
+        Such statements add at most one write per version of an id, so the profile
+        still tells which ids are large; use ``after_puts`` for outside records.
+        """
+        return replace(
+            self.profiled(), log=dml.append(self.log, *writes), open_ended=open_ended)
+
+    def after_puts(self, *writes: DataFrame) -> VersionedTable:
+        """The table after puts or deletes of outside records, which are profiled too."""
+        prof = self.profiled().prof.merged(
+            *[profile(w.select(ID), self.rows_per_task) for w in writes])
+        return replace(self, log=dml.append(self.log, *writes), prof=prof)
+
+    def update(self, changes, tx: int, at, where=None, until=None) -> VersionedTable:
+        table = self.profiled()
+        return table.after(dml.update(
+            table.visible(), changes, tx, at, where, until, table.open_ended, table.prof))
+
+    def delete_where(self, where, tx: int, at, until=None) -> VersionedTable:
+        table = self.profiled()
+        return table.after(dml.delete_where(
+            table.visible(), where, tx, at, until, table.open_ended, table.prof))
+
+    def patch(self, patches: DataFrame, tx: int, at, provided: str | None = None) -> VersionedTable:
+        table = self.profiled()
+        rows = dml.patch(
+            table.visible(), patches, tx, at, provided, table.open_ended, table.prof)
+        return replace(table.after(rows), prof=table.prof.merged(profile(patches.select(ID))))
 
     def at_basis(self, tx: int) -> VersionedTable:
         """The table as it stood after transaction ``tx``: a repeatable read."""
@@ -61,7 +104,7 @@ class VersionedTable:
 
     def all_versions(self) -> DataFrame:
         """FOR ALL VALID_TIME: every version with ``_valid_from``, ``_valid_to``."""
-        return resolve.versions(self.visible(), self.open_ended, self.rows_per_task)
+        return resolve.versions(self.visible(), self.open_ended, prof=self.profiled().prof)
 
     def between(self, start, end) -> DataFrame:
         """FOR VALID_TIME FROM a TO b: versions overlapping ``[a, b)``, unclipped."""

@@ -55,10 +55,11 @@ def versions(
     """Every version of every id with its resolved ``_valid_from`` and ``_valid_to``.
 
     ``open_ended=True`` promises that no write has a ``_valid_to``; such logs resolve
-    without leaving the JVM.
+    without leaving the JVM.  ``prof`` saves the count of writes per id where the
+    caller has one already; it may list more than this log holds.
     """
-    log = valid_periods(log)
     prof = prof or profile(log.select(ID), rows_per_task)
+    log = valid_periods(log)
     cold = prof.cold(log)
     resolved = _resolve_open(cold) if open_ended else _resolve_swept(cold)
     if prof.hot:
@@ -118,6 +119,8 @@ def _resolve_hot(log: DataFrame, prof: KeyProfile) -> DataFrame:
     spark = log.sparkSession
     narrow = _narrow(log)
     cuts = cut_points(narrow, prof)
+    if not cuts:  # the profile named ids this log has no writes for
+        return _resolve_swept(log)
     depth = max(len(c) for c in cuts.values()).bit_length() + 1
     pieces_schema = T.StructType(
         [T.StructField(f.name, f.dataType) for f in narrow.schema.fields]

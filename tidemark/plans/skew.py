@@ -34,6 +34,18 @@ class KeyProfile:
         rows = [(key,) for key in self.hot]
         return log.sparkSession.createDataFrame(rows, log.select(ID).schema)
 
+    def merged(self, *others: KeyProfile) -> KeyProfile:
+        """Profile of several sets of writes together.
+
+        An id hot in none of them has at most ``limit`` writes in each, so what one
+        task may meet grows with the number of sets only.
+        """
+        hot = dict(self.hot)
+        for other in others:
+            for key, n in other.hot.items():
+                hot[key] = hot.get(key, 0) + n
+        return KeyProfile(max(self.limit, *(o.limit for o in others)) if others else self.limit, hot)
+
     def cold(self, log: DataFrame) -> DataFrame:
         if not self.hot:
             return log
@@ -68,7 +80,7 @@ def cut_points(hot_log: DataFrame, prof: KeyProfile) -> dict:
     """
     classes: dict[int, list] = {}
     for key, n in prof.hot.items():
-        classes.setdefault((n // prof.limit).bit_length(), []).append(key)
+        classes.setdefault(max(n // prof.limit, 1).bit_length(), []).append(key)
     cuts = {}
     for size_class, keys in classes.items():
         parts = 2 ** (size_class + 2)

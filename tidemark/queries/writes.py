@@ -1,5 +1,7 @@
 """Statements that write, shown through the versions they leave."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tidemark.columns import ID, VALID_FROM, VALID_TO
@@ -49,14 +51,14 @@ def _with_log2(more: str, then: str, before: str = "") -> str:
 def put_upsert(spark, sf_dir):
     table = _table(spark, sf_dir)
     rows = dml.put(_totals(spark, sf_dir), TX_AFTER, NOW)
-    return VersionedTable(dml.append(table.log, rows), open_ended=True).current(NOW)
+    return table.after_puts(rows).current(NOW)
 
 
 @query(_with_log2(_put_sql("2024-01-05 00:00:00"), f"{versions_ctes('log2', 'v2')} {HISTORY}"))
 def put_backdated(spark, sf_dir):
     table = _table(spark, sf_dir)
     rows = dml.put(_totals(spark, sf_dir), TX_AFTER, NOW, valid_from="2024-01-05 00:00:00")
-    return history(VersionedTable(dml.append(table.log, rows), open_ended=True).all_versions())
+    return history(table.after_puts(rows).all_versions())
 
 
 @query(_with_log2(_put_sql("2024-03-01 00:00:00"), f"""{as_of_cte('log2', 'n', NOW)},
@@ -66,7 +68,7 @@ def put_backdated(spark, sf_dir):
 def future_version(spark, sf_dir):
     table = _table(spark, sf_dir)
     rows = dml.put(_totals(spark, sf_dir), TX_AFTER, NOW, valid_from="2024-03-01 00:00:00")
-    after = VersionedTable(dml.append(table.log, rows), open_ended=True)
+    after = table.after_puts(rows)
     now = after.current(NOW).withColumn("at", F.lit("now"))
     return now.unionByName(after.as_of("2024-03-02 00:00:00").withColumn("at", F.lit("future")))
 
@@ -79,10 +81,9 @@ _UPDATE_SQL = f"""SELECT * REPLACE ({TX_AFTER} AS _tx, epoch_us(_valid_from) AS
                   f"{versions_ctes('log', 'v1')}, {CLIPPED},"))
 def update_expr(spark, sf_dir):
     table = _table(spark, sf_dir)
-    rows = dml.update(
-        table.log, {"value": F.col("value") * 2}, TX_AFTER, AT,
-        where=F.col("event_type") == "purchase")
-    return history(VersionedTable(dml.append(table.log, rows)).all_versions())
+    after = table.update(
+        {"value": F.col("value") * 2}, TX_AFTER, AT, where=F.col("event_type") == "purchase")
+    return history(after.all_versions())
 
 
 @query(_with_log2(
@@ -91,8 +92,8 @@ def update_expr(spark, sf_dir):
     f"{versions_ctes('log2', 'v2')} {HISTORY}", f"{versions_ctes('log', 'v1')}, {CLIPPED},"))
 def soft_delete(spark, sf_dir):
     table = _table(spark, sf_dir)
-    rows = dml.delete_where(table.log, F.col("event_type") == "click", TX_AFTER, AT)
-    return history(VersionedTable(dml.append(table.log, rows)).all_versions())
+    after = table.delete_where(F.col("event_type") == "click", TX_AFTER, AT)
+    return history(after.all_versions())
 
 
 @query(_with_log2(
@@ -105,7 +106,7 @@ def delete_portion(spark, sf_dir):
     ids = logs.table(spark, sf_dir, "events").where(
         "event_type = 'signup' AND value > 80").select(F.col("user_id").alias(ID))
     rows = dml.delete_ids(ids, TX_AFTER, NOW, valid_from="2024-01-25 00:00:00")
-    return history(VersionedTable(dml.append(table.log, rows), open_ended=True).all_versions())
+    return history(table.after_puts(rows).all_versions())
 
 
 @query(_with_log2(
@@ -118,7 +119,7 @@ def delete_bounded_portion(spark, sf_dir):
     ids = logs.table(spark, sf_dir, "events").where("event_type = 'purchase'").select(
         F.col("user_id").alias(ID))
     rows = dml.delete_ids(ids, TX_AFTER, NOW, "2024-01-08 00:00:00", "2024-01-12 00:00:00")
-    return history(VersionedTable(dml.append(table.log, rows)).all_versions())
+    return history(replace(table.after_puts(rows), open_ended=False).all_versions())
 
 
 @query(f"""WITH {LOG}, kept AS (SELECT * FROM log WHERE _id NOT IN (
@@ -144,8 +145,7 @@ def patch_merge(spark, sf_dir):
     table = _table(spark, sf_dir)
     patches = logs.table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias(ID), F.col("c_mktsegment").alias("event_type"))
-    rows = dml.patch(table.log, patches, TX_AFTER, AT)
-    return history(VersionedTable(dml.append(table.log, rows)).all_versions())
+    return history(table.patch(patches, TX_AFTER, AT).all_versions())
 
 
 @query(f"""WITH log AS ({logs.ORDERS_INITIAL_SQL}), log2 AS (

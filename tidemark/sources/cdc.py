@@ -102,9 +102,12 @@ def normalise(
         .when(F.col("record_id").isNull(), "no id")
         .when(~F.col("op").isin(*KNOWN_OPS), "unknown op")
     )
-    return known.select(
+    row = F.struct(
         SEQ, "form", "op", F.regexp_replace("table", "[^a-zA-Z0-9_]", "").alias("table"),
         "deleted", "record_id", "valid_from", "data", reason.alias("reject_reason"))
+    # A generated row keeps later filters above it; pushed below, they would repeat the
+    # whole parse inside the filter condition.
+    return known.select(F.inline(F.array(row)))
 
 
 def accepted(normalised: DataFrame) -> DataFrame:
