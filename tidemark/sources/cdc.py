@@ -37,6 +37,18 @@ def _at(value: Column, key: str, kind: str = "variant") -> Column:
     return F.try_variant_get(value, f"$['{key}']", kind)
 
 
+# Variant fields keep a JSON null apart from an absent key.
+BODY_FIELDS = (
+    "struct<payload: variant, source: variant, before: variant, after: variant, ddl: variant, "
+    "tableChanges: variant, op: string, ts_ms: string, __op: string, __table: string, "
+    "__source_ts_ms: string, __deleted: string>")
+SOURCE_FIELDS = "struct<table: string, ts_ms: string>"
+
+
+def _fields(value: Column, fields: str) -> Column:
+    return F.try_variant_get(value, "$", fields)
+
+
 def normalise(
     events: DataFrame, now, event: str = "event", position: str = "_position", id_field: str = "id"
 ) -> DataFrame:
@@ -51,39 +63,36 @@ def normalise(
         (raw.isNull() | (F.length(raw) == 0) if is_text else raw.isNull()).alias("_empty"),
         (F.try_parse_json(raw) if is_text else raw).alias("_event"),
     )
-    wrapped = _at(F.col("_event"), "payload")
-    body = parsed.withColumns({
-        "_body": F.coalesce(wrapped, F.col("_event")),
-        "_wrapped": wrapped.isNotNull(),
-    })
-    b = F.col("_body")
-    fields = body.withColumns({
-        "_source": _at(b, "source"),
-        "_before": _at(b, "before"),
-        "_after": _at(b, "after"),
-        "_ddl": _at(b, "ddl").isNotNull() | _at(b, "tableChanges").isNotNull(),
+    # One struct extraction per level: each path lookup on its own copies the value.
+    top = _fields(F.col("_event"), BODY_FIELDS)
+    inner = _fields(_at(F.col("_event"), "payload"), BODY_FIELDS)
+    opened = parsed.withColumn("_top", top).withColumn(
+        "_wrapped", F.col("_top.payload").isNotNull())
+    body = opened.withColumns({
+        "_body": F.when(F.col("_wrapped"), F.col("_top.payload")).otherwise(F.col("_event")),
+        "_b": F.when(F.col("_wrapped"), inner).otherwise(F.col("_top")),
     })
-    enveloped = F.col("_source").isNotNull()
+    fields = body.withColumn("_s", _fields(F.col("_b.source"), SOURCE_FIELDS))
+    enveloped = F.col("_b.source").isNotNull()
     form = (
         F.when(F.col("_wrapped"), "wrapped").when(enveloped, "envelope").otherwise("flat"))
     shaped = fields.withColumns({
         "form": form,
-        "op": F.when(enveloped, F.coalesce(_at(b, "op", "string"), F.lit("r")))
-        .otherwise(F.coalesce(_at(b, "__op", "string"), F.lit("c"))),
-        "table": F.when(enveloped, _at(F.col("_source"), "table", "string"))
-        .otherwise(F.substring_index(_at(b, "__table", "string"), ".", -1)),
+        "op": F.when(enveloped, F.coalesce("_b.op", F.lit("r")))
+        .otherwise(F.coalesce("_b.__op", F.lit("c"))),
+        "table": F.when(enveloped, F.col("_s.table"))
+        .otherwise(F.substring_index("_b.__table", ".", -1)),
         # Text that is no number, like a missing time, falls through to now.
-        "_millis": F.when(F.col("_wrapped"), F.coalesce(
-            _at(b, "ts_ms", "string"), _at(F.col("_source"), "ts_ms", "string")))
-        .when(enveloped, _at(F.col("_source"), "ts_ms", "string"))
-        .otherwise(_at(b, "__source_ts_ms", "string")).try_cast("bigint"),
+        "_millis": F.when(F.col("_wrapped"), F.coalesce("_b.ts_ms", "_s.ts_ms"))
+        .when(enveloped, F.col("_s.ts_ms"))
+        .otherwise(F.col("_b.__source_ts_ms")).try_cast("bigint"),
     })
     deleted = (F.col("op") == "d") | (
-        ~enveloped & F.coalesce(_at(b, "__deleted", "string") == "true", F.lit(False)))
+        ~enveloped & F.coalesce(F.col("_b.__deleted") == "true", F.lit(False)))
     known = shaped.withColumns({
         "deleted": deleted,
-        "data": F.when(~enveloped, b).when(F.col("op") == "d", F.col("_before"))
-        .otherwise(F.col("_after")),
+        "data": F.when(~enveloped, F.col("_body"))
+        .when(F.col("op") == "d", F.col("_b.before")).otherwise(F.col("_b.after")),
     })
     known = known.withColumns({
         "record_id": _at(F.col("data"), id_field, "string"),
@@ -94,9 +103,10 @@ def normalise(
     reason = (
         F.when(F.col("_empty"), "empty value")
         .when(F.col("_event").isNull(), "not json")
-        .when(enveloped & F.is_variant_null("_source"), "no source")
-        .when(enveloped & F.col("_ddl"), "schema event")
-        .when(enveloped & F.col("_before").isNull() & F.col("_after").isNull(), "no payload")
+        .when(enveloped & F.is_variant_null("_b.source"), "no source")
+        .when(enveloped & (F.col("_b.ddl").isNotNull() | F.col("_b.tableChanges").isNotNull()),
+              "schema event")
+        .when(enveloped & F.col("_b.before").isNull() & F.col("_b.after").isNull(), "no payload")
         .when(F.coalesce(F.col("table"), F.lit("")) == "", "no table")
         .when(no_data, "no data")
         .when(F.col("record_id").isNull(), "no id")
