@@ -13,9 +13,21 @@ from tidemark.operators import dml
 from tidemark.operators.travel import VersionedTable, at_instants, with_status
 
 
-def exact(column: Column) -> Column:
-    """A money expression as decimal, so sums do not depend on row order."""
-    return column.cast("decimal(24,6)")
+MILLION = 1_000_000
+
+
+def millionths(column: Column) -> Column:
+    """A money expression in whole millionths: sums of it do not depend on row order.
+
+    Rounding a double to a whole number is much cheaper than casting it to a decimal
+    with places.
+    """
+    return F.floor(column * MILLION + 0.5).cast("decimal(18,0)")
+
+
+def money(total: Column) -> Column:
+    """A sum of millionths as an amount rounded to cents."""
+    return F.round(total / F.lit(MILLION), 2).cast("double")
 
 
 def local_supplier_volume(
@@ -41,17 +53,16 @@ def local_supplier_volume(
     local = lines.join(
         supplier,
         (F.col("l_suppkey") == F.col("s_suppkey")) & (F.col("c_nationkey") == F.col("s_nationkey")))
-    revenue = F.sum(exact(F.col("l_extendedprice") * (1 - F.col("l_discount"))))
-    return local.groupBy("n_name").agg(
-        F.round(revenue, 2).cast("double").alias("revenue")).orderBy(F.desc("revenue"))
+    revenue = F.sum(millionths(F.col("l_extendedprice") * (1 - F.col("l_discount"))))
+    return local.groupBy("n_name").agg(money(revenue).alias("revenue")).orderBy(F.desc("revenue"))
 
 
 def _order_totals(lineitem: DataFrame, by: Sequence[str]) -> DataFrame:
     return lineitem.groupBy(*by).agg(
         F.count("*").alias("_lines"),
-        F.sum(exact(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("_revenue"),
-        F.sum(exact(F.col("l_extendedprice"))).alias("_price"),
-        F.sum(exact(F.col("l_discount"))).alias("_discount"),
+        F.sum(millionths(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("_revenue"),
+        F.sum(millionths(F.col("l_extendedprice"))).alias("_price"),
+        F.sum(millionths(F.col("l_discount"))).alias("_discount"),
     )
 
 
@@ -59,13 +70,13 @@ def _billing_columns(keys: Sequence[str], joined: DataFrame) -> DataFrame:
     lines = F.sum(F.coalesce("_lines", F.lit(0)))
 
     def mean(total: str, places: str) -> Column:
-        average = F.round(F.sum(total) / lines, 2)
+        average = F.round(F.sum(total) / (lines * MILLION), 2)
         return F.coalesce(average.cast(places).cast("double"), F.lit(0.0))
 
     return joined.groupBy(*keys).agg(
         F.count("_order").alias("order_count"),
         lines.alias("line_item_count"),
-        F.round(F.coalesce(F.sum("_revenue"), F.lit(0)), 2).cast("double").alias("total_revenue"),
+        F.coalesce(money(F.sum("_revenue")), F.lit(0.0)).alias("total_revenue"),
         F.when(lines > 0, mean("_price", "decimal(12,2)")).otherwise(0.0).alias("avg_line_price"),
         F.when(lines > 0, mean("_discount", "decimal(4,2)")).otherwise(0.0).alias("avg_discount"),
     )

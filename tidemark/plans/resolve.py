@@ -5,8 +5,9 @@ wins, whatever order valid times arrived in; a winning delete means absent.
 
 Three plans give the same answer where they all apply:
 
-* ``as_of`` needs no version bounds: filter to the instant, then one partially
-  aggregated ``max_by`` per id.  No window, and one id never gathers in one task.
+* ``as_of`` needs no version bounds: filter to the instant, then keep the first write
+  per id by descending write order.  Spark pushes that limit of one below the shuffle,
+  so a task passes on at most one write per id and a large id never gathers anywhere.
 * open-ended writes only: sorted by valid time, the visible writes are exactly the
   record highs of the write order, and each lasts until the next record high.
   Two windows share one shuffle and one sort; the payload just flows along.
@@ -37,13 +38,9 @@ def as_of(log: DataFrame, instant) -> DataFrame:
     covering = valid_periods(log).where(
         (F.col(VALID_FROM) <= at) & (F.col(VALID_TO).isNull() | (F.col(VALID_TO) > at))
     )
-    payload = payload_columns(log)
-    winner = covering.groupBy(ID).agg(
-        F.max_by(F.struct(OP, *payload), write_order()).alias("_w")
-    )
-    return winner.where(F.col(f"_w.{OP}") == PUT).select(
-        ID, *[F.col(f"_w.{c}").alias(c) for c in payload]
-    )
+    newest = Window.partitionBy(ID).orderBy(*[F.desc(c) for c in ORDER])
+    winner = covering.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
+    return winner.where(F.col(OP) == PUT).select(ID, *payload_columns(log))
 
 
 def versions(

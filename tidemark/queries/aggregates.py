@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.operators import relational, travel
-from tidemark.operators.reports import exact
+from tidemark.operators.reports import millionths, money
 from tidemark.queries import logs
 from tidemark.queries.registry import query
 
@@ -35,9 +35,9 @@ def count_distinct(spark, sf_dir):
 @query("""SELECT l_returnflag, CAST(round(sum(CAST(l_extendedprice * (1 - l_discount)
   AS DECIMAL(24,6))), 2) AS DOUBLE) AS revenue FROM lineitem GROUP BY l_returnflag""")
 def sum_expr(spark, sf_dir):
-    revenue = exact(F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    revenue = millionths(F.col("l_extendedprice") * (1 - F.col("l_discount")))
     return logs.table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
-        F.round(F.sum(revenue), 2).cast("double").alias("revenue"))
+        money(F.sum(revenue)).alias("revenue"))
 
 
 @query("""SELECT l_linestatus, CAST(CAST(avg(CAST(l_extendedprice AS DECIMAL(18,2)))

@@ -72,7 +72,7 @@ LINE_PAYLOAD = (
 
 def line_id() -> Column:
     """Line number and order repeat, so the id takes part, supplier and price as well."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
     return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents)
 
 
@@ -153,7 +153,7 @@ ORDERS_SQL = f"""{ORDERS_INITIAL_SQL} UNION ALL
   o_totalprice * CAST(1.05 AS DOUBLE), o_orderpriority FROM orders WHERE o_orderstatus <> 'F'"""
 
 LINE_ID_SQL = """concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  CAST(round(l_extendedprice * 100) AS BIGINT))"""
+  CAST(floor(l_extendedprice * 100 + CAST(0.5 AS DOUBLE)) AS BIGINT))"""
 LINES_INITIAL_SQL = f"""SELECT {LINE_ID_SQL} AS _id, l_shipdate AS _valid_from,
   CAST(NULL AS TIMESTAMP) AS _valid_to, CAST(1 AS BIGINT) AS _tx, CAST(0 AS BIGINT) AS _seq,
   'put' AS _op, l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_returnflag
