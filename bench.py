@@ -13,7 +13,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from tidemark.queries import registry  # noqa: E402
+from tidemark import session  # noqa: E402
+from tidemark.queries import all_queries  # noqa: E402
 
 HEADLINE = (
     "valid_as_of", "late_arrival_as_of", "current_state", "all_versions", "late_arrival_versions",
@@ -29,20 +30,19 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     memory = os.environ.get("BENCH_MEMORY", "16g")
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tidemark-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    spark = session.build(builder).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     only = sys.argv[1:]
     timings = {}
-    for name, (fn, _) in registry().items():
+    for name, (fn, _) in all_queries().items():
         if name not in (only or HEADLINE):
             continue
         runs = []

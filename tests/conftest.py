@@ -9,12 +9,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 @pytest.fixture(scope="session")
 def spark():
+    from tidemark import session as settings
+
     session = (
-        SparkSession.builder.master("local[4]")
+        settings.build(SparkSession.builder).master("local[4]")
         .appName("tidemark-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )

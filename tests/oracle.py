@@ -54,7 +54,7 @@ def compare(spark, con, sf_dir, fn, sql):
 def main():
     from pyspark.sql import SparkSession
 
-    from tidemark.queries import registry
+    from tidemark.queries import all_queries
 
     sf_dir = f"/root/testdata/{sys.argv[1] if len(sys.argv) > 1 else 'sf0.01'}"
     spark = (
@@ -63,7 +63,7 @@ def main():
     spark.sparkContext.setLogLevel("OFF")
     con = connect(sf_dir)
     bad = 0
-    for name, (fn, sql) in registry().items():
+    for name, (fn, sql) in all_queries().items():
         if sys.argv[2:] and name not in sys.argv[2:]:
             continue
         start = time.time()

@@ -5,10 +5,10 @@ import os
 import pytest
 from oracle import compare, connect
 
-from tidemark.queries import registry
+from tidemark.queries import all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = registry()
+QUERIES = all_queries()
 
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,7 @@ import importlib
 MODULES = ("basics", "joins", "aggregates", "values", "temporal", "writes", "business", "changes")
 
 
-def registry() -> dict:
+def all_queries() -> dict:
     """Name -> (function, SQL or None), in module order."""
     from tidemark.queries.registry import QUERIES
 

@@ -14,6 +14,7 @@ from tidemark.columns import (
     DELETE, ID, LOG_COLUMNS, OP, PUT, SEQ, SYSTEM_FROM, TX, VALID_FROM, VALID_TO,
 )
 from tidemark.operators.travel import VersionedTable
+from tidemark.plans.skew import profile
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,12 +96,13 @@ def customers_log(spark, sf_dir) -> VersionedTable:
     """Customers, valid since their first order where they have one."""
     first = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.min("o_orderdate").alias("_since"))
-    df = table(spark, sf_dir, "customer").join(first, "c_custkey", "left")
+    customer = table(spark, sf_dir, "customer")
+    df = customer.join(first, "c_custkey", "left")
     since = F.coalesce("_since", F.expr("timestamp_ntz'1995-01-01 00:00:00'"))
     return VersionedTable(
         _log(df, F.col("c_custkey"), since, F.lit(1), F.lit(0), F.lit(PUT),
              "c_custkey", "c_name", "c_acctbal"),
-        open_ended=True)
+        open_ended=True, prof=profile(customer.select(F.col("c_custkey").alias(ID))))
 
 
 def progression(df: DataFrame) -> DataFrame:
@@ -114,8 +116,8 @@ def progression(df: DataFrame) -> DataFrame:
 
 
 def orders_log(spark, sf_dir) -> VersionedTable:
-    first = orders_initial(spark, sf_dir).log
-    return VersionedTable(first.unionByName(progression(first)), open_ended=True)
+    first = orders_initial(spark, sf_dir)
+    return first.after(progression(first.log), open_ended=True)
 
 
 def price_correction(df: DataFrame) -> DataFrame:
@@ -128,8 +130,8 @@ def price_correction(df: DataFrame) -> DataFrame:
 
 
 def lines_log(spark, sf_dir) -> VersionedTable:
-    first = lines_initial(spark, sf_dir).log
-    return VersionedTable(first.unionByName(price_correction(first)), open_ended=True)
+    first = lines_initial(spark, sf_dir)
+    return first.after(price_correction(first.log), open_ended=True)
 
 
 # -- the same logs and their resolution in SQL --------------------------------------
