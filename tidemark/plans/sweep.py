@@ -126,13 +126,9 @@ def cutter(columns: list[str], cuts: dict, depth: int):
     def run(batches):
         for batch in batches:
             data = dict(zip(columns, batch.columns))
-            ids = np.array(data[ID].to_pylist(), dtype=object)
             start, end = _instants(data[VALID_FROM]), _instants(data[VALID_TO])
-            parts = []
-            for key in dict.fromkeys(ids.tolist()):
-                rows = np.flatnonzero(ids == key)
-                parts += _cut_rows(rows, start[rows], end[rows], cuts[key], depth)
-            pick, new_start, new_end, level, chunk = (np.concatenate(p) for p in zip(*parts))
+            place = _place(data[ID].dictionary_encode(), start, end, cuts)
+            pick, new_start, new_end, level, chunk = _pieces(start, end, place, depth)
             taken = batch.take(pa.array(pick))
             made = dict(zip(columns, taken.columns))
             time_type = data[VALID_FROM].type
@@ -146,23 +142,41 @@ def cutter(columns: list[str], cuts: dict, depth: int):
     return run
 
 
-def _cut_rows(rows, start, end, bounds, depth):
-    """Pieces of one id's periods as (row, start, end, level, chunk) column tuples."""
-    first = np.searchsorted(bounds, start, side="right")
-    at_cut = (first > 0) & (bounds[np.maximum(first - 1, 0)] == start)
-    is_open = end == OPEN
-    final = np.where(is_open, len(bounds) + 1, np.searchsorted(bounds, end, side="right"))
-    cut_before_end = bounds[np.clip(final - 1, 0, len(bounds) - 1)]
-    ends_at_cut = is_open | ((final > 0) & (cut_before_end == end))
-    highs = np.append(bounds, OPEN)
-
-    def piece(mask, lo, hi, level, chunk):
-        return rows[mask], lo[mask], hi[mask], np.full(mask.sum(), level), chunk[mask]
-
-    head = ~at_cut
-    pieces = [piece(head, start, np.minimum(end, highs[first]), -1, first)]
+def _place(ids, start, end, cuts) -> dict[str, np.ndarray]:
+    """Where each period starts and ends among the cuts of its own id."""
+    n = len(start)
+    place = {name: np.empty(n, dtype=np.int64) for name in ("first", "final", "cut", "high", "last")}
+    codes = ids.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(codes, kind="stable")
+    breaks = np.flatnonzero(np.diff(codes[order])) + 1
+    for rows in np.split(order, breaks):
+        bounds = cuts[ids.dictionary[int(codes[rows[0]])].as_py()]
+        edges = np.append(bounds, OPEN)
+        first = np.searchsorted(bounds, start[rows], side="right")
+        final = np.where(
+            end[rows] == OPEN, len(edges), np.searchsorted(bounds, end[rows], side="right"))
+        place["first"][rows], place["final"][rows] = first, final
+        place["high"][rows] = edges[first]  # end of the first chunk
+        # The cut at or before each end; below the first cut there is none to equal.
+        place["cut"][rows] = np.where(first > 0, edges[first - 1], OPEN)
+        place["last"][rows] = np.where(final > 0, edges[final - 1], OPEN)
+    return place
+
+
+def _pieces(start, end, place, depth):
+    """Pieces of all periods as (row, start, end, level, chunk) columns."""
+    rows = np.arange(len(start))
+    first, final = place["first"], place["final"]
+    at_cut, ends_at_cut = place["cut"] == start, place["last"] == end
+    parts = []
+
+    def add(mask, low, high, level, chunk):
+        parts.append(
+            (rows[mask], low[mask], high[mask], np.full(mask.sum(), level), chunk[mask]))
+
+    add(~at_cut, start, np.minimum(end, place["high"]), -1, first)
     tail = ~ends_at_cut & ((final > first) | at_cut)
-    pieces.append(piece(tail, np.maximum(start, cut_before_end), end, -1, final))
+    add(tail, np.maximum(start, place["last"]), end, -1, final)
 
     # Chunks [a, b) are covered in full: two tree nodes per level at most.
     nothing = np.full(len(rows), OPEN)
@@ -170,9 +184,9 @@ def _cut_rows(rows, start, end, bounds, depth):
     for level in range(depth + 1):
         low, high = -(-a >> level), b >> level
         some = low < high
-        pieces.append(piece(some & (low % 2 == 1), nothing, nothing, level, low))
-        pieces.append(piece(some & (high % 2 == 1), nothing, nothing, level, high - 1))
-    return pieces
+        add(some & (low % 2 == 1), nothing, nothing, level, low)
+        add(some & (high % 2 == 1), nothing, nothing, level, high - 1)
+    return [np.concatenate(column) for column in zip(*parts)]
 
 
 def leaf_table(cuts: dict, time_type) -> list[tuple]:
