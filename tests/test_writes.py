@@ -160,6 +160,7 @@ def test_commit_rollback_and_error(spark, store):
     # Staged and never committed: rolled back.
     store.write_rows(1, "t", dml.put(products(spark, (2, "lost", 2.0)), 1, day(2)))
     assert rows(store.table("t").current(day(9)), "_id") == [(1,)]
+    assert store.staged("t") == [1]
     # A failing later statement leaves the earlier one of its transaction invisible.
     with pytest.raises(Exception, match="boom"):
         store.transact(day(2), {
@@ -193,6 +194,6 @@ def test_rewrite_drops_erased_and_uncommitted_rows(spark, store):
     store.commit(1, day(2))
     assert rows(store.table("t").all_versions(), "_id") == [(2,)]
     assert store.rewrite("t") == 1
-    assert rows(store.raw_log("t"), "_id") == [(2,)]
+    assert rows(store.raw_log("t"), "_id") == [(2,)] and store.staged("t") == []
     store.transact(day(3), {"t": dml.put(products(spark, (3, "z", 3.0)), 2, day(3))}, tx=2)
     assert rows(store.table("t").current(day(4)), "_id") == [(2,), (3,)]

@@ -92,6 +92,19 @@ def unify(
     return joined
 
 
+def left_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left outer join whose right side may hold very many rows of one key.
+
+    A plain outer join cannot split a large key on its optional side.  The matches are
+    an inner join, which can, and the rest are the left rows whose key is missing.
+    """
+    matches = left.join(right, F.col(left_key) == F.col(right_key))
+    known = right.select(F.col(right_key).alias("_known")).distinct()
+    alone = left.join(known, F.col(left_key) == F.col("_known"), "left_anti")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]
+    return matches.unionByName(alone.select("*", *nulls))
+
+
 def unnest(table: DataFrame, array: str, variable: str) -> DataFrame:
     """One row per element; rows with an empty or NULL array go."""
     return table.withColumn(variable, F.explode(array))

@@ -57,7 +57,10 @@ def local_supplier_volume(
     return local.groupBy("n_name").agg(money(revenue).alias("revenue")).orderBy(F.desc("revenue"))
 
 
-def _order_totals(lineitem: DataFrame, by: Sequence[str]) -> DataFrame:
+_TOTALS = ("_orders", "_lines", "_revenue", "_price", "_discount")
+
+
+def _line_totals(lineitem: DataFrame, by: Sequence[str]) -> DataFrame:
     return lineitem.groupBy(*by).agg(
         F.count("*").alias("_lines"),
         F.sum(millionths(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("_revenue"),
@@ -66,20 +69,26 @@ def _order_totals(lineitem: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _billing_columns(keys: Sequence[str], joined: DataFrame) -> DataFrame:
-    lines = F.sum(F.coalesce("_lines", F.lit(0)))
+def _add_up(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*by).agg(*[F.sum(t).alias(t) for t in _TOTALS])
+
+
+def _billing_columns() -> list[Column]:
+    """The report's measures from totals that may be missing altogether."""
+    lines = F.coalesce("_lines", F.lit(0))
 
     def mean(total: str, places: str) -> Column:
-        average = F.round(F.sum(total) / (lines * MILLION), 2)
-        return F.coalesce(average.cast(places).cast("double"), F.lit(0.0))
+        average = F.round(F.col(total) / (F.col("_lines") * MILLION), 2)
+        return F.coalesce(
+            F.when(lines > 0, average.cast(places).cast("double")), F.lit(0.0))
 
-    return joined.groupBy(*keys).agg(
-        F.count("_order").alias("order_count"),
+    return [
+        F.coalesce("_orders", F.lit(0)).alias("order_count"),
         lines.alias("line_item_count"),
-        F.coalesce(money(F.sum("_revenue")), F.lit(0.0)).alias("total_revenue"),
-        F.when(lines > 0, mean("_price", "decimal(12,2)")).otherwise(0.0).alias("avg_line_price"),
-        F.when(lines > 0, mean("_discount", "decimal(4,2)")).otherwise(0.0).alias("avg_discount"),
-    )
+        F.coalesce(money(F.col("_revenue")), F.lit(0.0)).alias("total_revenue"),
+        mean("_price", "decimal(12,2)").alias("avg_line_price"),
+        mean("_discount", "decimal(4,2)").alias("avg_discount"),
+    ]
 
 
 def billing_report(customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
@@ -90,18 +99,14 @@ def billing_report(customer: DataFrame, orders: DataFrame, lineitem: DataFrame)
     each step shrinks what the following join moves, and a customer with very many
     lines is aggregated before its rows meet in one task.
     """
-    totals = _order_totals(lineitem, ["l_orderkey"])
-    per_order = orders.join(totals, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn(
-        "_order", F.col("o_orderkey"))
-    per_customer = _billing_columns(["o_custkey"], per_order)
-    measures = [c for c in per_customer.columns if c != "o_custkey"]
+    lines = _line_totals(lineitem, ["l_orderkey"])
+    per_order = orders.select("o_orderkey", "o_custkey", F.lit(1).alias("_orders")).join(
+        lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    per_customer = _add_up(per_order, ["o_custkey"])
     return customer.join(
         per_customer, F.col("c_custkey") == F.col("o_custkey"), "left"
     ).select(
-        "c_custkey", "c_name", F.col("c_acctbal").alias("customer_balance"),
-        *[F.coalesce(F.col(m), F.lit(0).cast(per_customer.schema[m].dataType)).alias(m)
-          for m in measures],
-    )
+        "c_custkey", "c_name", F.col("c_acctbal").alias("customer_balance"), *_billing_columns())
 
 
 def billing_trend(
@@ -111,27 +116,27 @@ def billing_trend(
     """The billing totals of the whole book at several instants, in one job.
 
     Each table's versions are resolved once and copied to the instants they cover;
-    nothing is read once per instant.
+    nothing is read once per instant.  Totals shrink to one row per order, then per
+    customer, before each join.
     """
-    buyers = at_instants(customer.columns("c_custkey").all_versions(), instants)
+    buyers = at_instants(customer.columns("c_custkey").all_versions(), instants).select(
+        F.col("as_of").alias("_buyer_at"), "c_custkey")
     placed = at_instants(orders.columns("o_orderkey", "o_custkey").all_versions(), instants)
-    lines = at_instants(
+    sold = at_instants(
         lineitem.columns("l_orderkey", "l_extendedprice", "l_discount").all_versions(), instants)
-    totals = _order_totals(lines, ["as_of", "l_orderkey"]).withColumnRenamed("as_of", "_line_at")
-    per_order = placed.join(
-        totals,
+    lines = _line_totals(sold, ["as_of", "l_orderkey"]).withColumnRenamed("as_of", "_line_at")
+    per_order = placed.withColumn("_orders", F.lit(1)).join(
+        lines,
         (F.col("as_of") == F.col("_line_at")) & (F.col("o_orderkey") == F.col("l_orderkey")),
-        "left",
-    ).withColumn("_order", F.col("o_orderkey"))
-    report = _billing_columns(["as_of"], per_order.join(
-        buyers.select(F.col("as_of").alias("_buyer_at"), "c_custkey"),
+        "left")
+    per_customer = _add_up(per_order, ["as_of", "o_custkey"]).join(
+        buyers,
         (F.col("as_of") == F.col("_buyer_at")) & (F.col("o_custkey") == F.col("c_custkey")),
-        "left_semi"))
-    customers = buyers.groupBy(F.col("as_of").alias("_at")).agg(F.count("*").alias("customers"))
-    return customers.join(report, F.col("_at") == F.col("as_of"), "left").select(
-        F.col("_at").alias("as_of"), "customers",
-        *[F.coalesce(F.col(c), F.lit(0).cast(report.schema[c].dataType)).alias(c)
-          for c in report.columns if c != "as_of"])
+        "left_semi")
+    totals = _add_up(per_customer, ["as_of"])
+    customers = buyers.groupBy("_buyer_at").agg(F.count("*").alias("customers"))
+    return customers.join(totals, F.col("_buyer_at") == F.col("as_of"), "left").select(
+        F.col("_buyer_at").alias("as_of"), "customers", *_billing_columns())
 
 
 def evolution(

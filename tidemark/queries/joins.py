@@ -55,7 +55,7 @@ def left_join(spark, sf_dir):
     customer = logs.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     dear = logs.table(spark, sf_dir, "orders").where("o_totalprice > 200000").select(
         "o_custkey", "o_orderkey", "o_totalprice")
-    return customer.join(dear, F.col("c_custkey") == F.col("o_custkey"), "left").drop("o_custkey")
+    return relational.left_outer(customer, dear, "c_custkey", "o_custkey").drop("o_custkey")
 
 
 @query("""SELECT c_mktsegment, count(o_orderkey) AS orders,

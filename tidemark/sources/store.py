@@ -27,6 +27,8 @@ from tidemark.operators.travel import VersionedTable
 from tidemark.plans import visibility
 
 TX_SCHEMA = "_tx bigint, system_time timestamp_ntz, committed boolean"
+# Directory of a rewritten generation, which holds many transactions.
+REWRITTEN = -1
 ERASE_SCHEMA = "_table string, _id string, _tx bigint"
 
 
@@ -109,10 +111,25 @@ class LogStore:
     def generation(self, table: str) -> int:
         return self.generations().get(table_identifier(table), 0)
 
+    def _table_path(self, table: str) -> str:
+        return f"{self.root}/log/table={table_identifier(table)}/gen={self.generation(table)}"
+
     def raw_log(self, table: str) -> DataFrame:
         """All staged rows, committed or not; columns are the union over commits."""
-        path = f"{self.root}/log/table={table_identifier(table)}/gen={self.generation(table)}"
-        return self.spark.read.option("mergeSchema", True).parquet(path).drop("commit")
+        return self.spark.read.option("mergeSchema", True).parquet(self._table_path(table))
+
+    def staged(self, table: str) -> list[int]:
+        """Transactions with rows of the table on disk that were never committed.
+
+        Known from directory names; there are as many as jobs that died, not as many
+        as transactions.
+        """
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+            "pathGlobFilter", "*.parquet").load(self._table_path(table))
+        commits = files.select(
+            F.regexp_extract("path", r"/commit=(-?\d+)/", 1).cast("bigint").alias(TX)).distinct()
+        open_txs = commits.where(F.col(TX) != REWRITTEN).join(self.txs(), TX, "left_anti")
+        return [r[TX] for r in open_txs.collect()]
 
     def erasures(self, table: str, id_type="string") -> DataFrame:
         rows = self._read("erasures", ERASE_SCHEMA).where(F.col("_table") == table)
@@ -120,9 +137,18 @@ class LogStore:
         return done.withColumn(ID, F.col(ID).cast(id_type))
 
     def table(self, name: str, basis: int | None = None, open_ended: bool = False) -> VersionedTable:
+        """The committed part of a table.
+
+        Uncommitted transactions are whole directories, so leaving them out prunes
+        partitions; rows are not joined with the transaction table.
+        """
         log = self.raw_log(name)
+        staged = self.staged(name)
+        if staged:
+            log = log.where(~F.col("commit").isin(staged))
+        log = log.drop("commit")
         return VersionedTable(
-            log, open_ended=open_ended, txs=self.txs(),
+            log, open_ended=open_ended,
             erasures=self.erasures(name, log.schema[ID].dataType), basis=basis)
 
     def list_tables(self) -> DataFrame:
@@ -146,7 +172,7 @@ class LogStore:
         order = [c for c in LOG_COLUMNS if c in kept.columns]
         kept = kept.select(*order, *[c for c in kept.columns if c not in order])
         kept.repartitionByRange(ID, TX).sortWithinPartitions(ID, TX).write.mode(
-            "overwrite").parquet(f"{self.root}/log/table={table}/gen={gen}/commit=-1")
+            "overwrite").parquet(f"{self.root}/log/table={table}/gen={gen}/commit={REWRITTEN}")
         self.spark.range(1).select(F.lit(1).alias("done")).coalesce(1).write.mode(
             "overwrite").parquet(f"{self.root}/generations/table={table}/gen={gen}")
         return gen
