@@ -201,6 +201,33 @@ def test_parse_iso(spark, text, expected):
     assert df.select(temporal.parse_iso(F.col("t")).cast("string")).first()[0] == expected
 
 
+@pytest.mark.parametrize("text,seconds", [
+    ("PT1H3M5.533S", "3785.533000"), ("P163DT12H", "14126400.000000"), ("P1D", "86400.000000"),
+    ("P", None), ("1H", None), ("PT", None),
+])
+def test_parse_duration(spark, text, seconds):
+    df = spark.createDataFrame([(text,)], "t string")
+    got = df.select(temporal.seconds_of(temporal.parse_duration(F.col("t"))).cast("string")).first()[0]
+    assert got == seconds
+
+
+@pytest.mark.parametrize("text,nanos", [
+    ("13:30", 48_600_000_000_000), ("00:00:01.5", 1_500_000_000), ("24:00", None),
+])
+def test_time_to_nanos(spark, text, nanos):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(temporal.time_to_nanos(F.col("t"))).first()[0] == nanos
+
+
+def test_periods(spark):
+    row = spark.range(1).select(
+        temporal.period(F.lit(1), F.lit(5)).alias("a"), temporal.period(F.lit(5), F.lit(None)).alias("b"),
+        temporal.period(F.lit(4), F.lit(6)).alias("c")).select(
+        temporal.period_overlaps(F.col("a"), F.col("b")), temporal.period_overlaps(F.col("a"), F.col("c")),
+        temporal.period_contains(F.col("b"), F.lit(9)), temporal.period_contains(F.col("a"), F.lit(5)))
+    assert tuple(row.first()) == (False, True, True, False)
+
+
 def test_rough_age(spark):
     df = spark.createDataFrame([(date(1990, 12, 31),)], "born date")
     got = df.select(

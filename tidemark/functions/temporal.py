@@ -23,6 +23,54 @@ def parse_iso(column: Column) -> Column:
     return full.try_cast("timestamp")
 
 
+def parse_duration(column: Column) -> Column:
+    """ISO durations such as ``P163DT12H`` or ``PT1H3M5.533S`` as day-time intervals."""
+    shape = r"^P(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:\.\d+)?)S)?)?$"
+
+    def part(group: int, kind: str) -> Column:
+        return F.coalesce(F.regexp_extract(column, shape, group).try_cast(kind), F.lit(0))
+
+    whole = column.rlike(shape) & column.rlike(r"\d[DHMS]")
+    return F.when(whole, F.make_dt_interval(
+        part(1, "int"), part(2, "int"), part(3, "int"), part(4, "decimal(18,6)")))
+
+
+def seconds_of(interval: Column) -> Column:
+    """Length of a day-time interval in seconds, fractions kept."""
+    return interval.cast("interval second").cast("decimal(24,6)")
+
+
+def time_to_nanos(column: Column) -> Column:
+    """Time of day ``HH:mm[:ss[.fraction]]`` as nanoseconds since midnight.
+
+    Parquet takes no time-of-day type, so a whole number is what gets stored.
+    """
+    shape = r"^([01]\d|2[0-3]):([0-5]\d)(?::([0-5]\d)(?:\.(\d{1,9}))?)?$"
+    hours, minutes, seconds = (
+        F.coalesce(F.regexp_extract(column, shape, g).try_cast("bigint"), F.lit(0)) for g in (1, 2, 3))
+    fraction = F.rpad(F.regexp_extract(column, shape, 4), 9, "0").cast("bigint")
+    return F.when(
+        column.rlike(shape),
+        ((hours * 60 + minutes) * 60 + seconds) * F.lit(1_000_000_000) + fraction)
+
+
+def period(start: Column, end: Column) -> Column:
+    """A half-open period; a NULL end is open."""
+    return F.struct(start.alias("from"), end.alias("to"))
+
+
+def period_contains(value: Column, instant: Column) -> Column:
+    low, high = value.getField("from"), value.getField("to")
+    return (low <= instant) & (high.isNull() | (high > instant))
+
+
+def period_overlaps(a: Column, b: Column) -> Column:
+    def starts_before_end(x: Column, y: Column) -> Column:
+        return y.getField("to").isNull() | (x.getField("from") < y.getField("to"))
+
+    return starts_before_end(a, b) & starts_before_end(b, a)
+
+
 def years_between(later: Column, earlier: Column) -> Column:
     """Difference of calendar years, the usual rough age."""
     return F.year(later) - F.year(earlier)

@@ -97,6 +97,30 @@ def iso_text_to_ts(spark, sf_dir):
             F.current_timezone(), F.lit("UTC"), parsed.cast("timestamp_ntz")).alias("moment"))
 
 
+@query("""SELECT event_id, hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS seconds,
+  CAST((hour(ts) * 3600 + minute(ts) * 60) AS BIGINT) * 1000000000 AS nanos FROM events""")
+def duration_and_time_text(spark, sf_dir):
+    events = logs.table(spark, sf_dir, "events").select(
+        "event_id", F.date_format("ts", "'PT'H'H'm'M's'S'").alias("duration"),
+        F.date_format("ts", "HH:mm").alias("time"))
+    return events.select(
+        "event_id",
+        temporal.seconds_of(temporal.parse_duration(F.col("duration"))).cast("bigint").alias("seconds"),
+        temporal.time_to_nanos(F.col("time")).alias("nanos"))
+
+
+@query("""SELECT user_id, count(*) AS overlapping FROM events
+  WHERE ts < TIMESTAMP '2024-01-12' AND ts + INTERVAL 2 DAY > TIMESTAMP '2024-01-10'
+  GROUP BY user_id""")
+def period_overlap(spark, sf_dir):
+    spoken = temporal.period(F.col("ts"), F.expr("ts + INTERVAL 2 DAY"))
+    asked = temporal.period(
+        F.expr("timestamp_ntz'2024-01-10 00:00:00'"), F.expr("timestamp_ntz'2024-01-12 00:00:00'"))
+    return logs.table(spark, sf_dir, "events").where(
+        temporal.period_overlaps(spoken, asked)
+    ).groupBy("user_id").agg(F.count("*").alias("overlapping"))
+
+
 @query("""SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS first, CAST(embedding[2] AS DOUBLE) AS second,
   CAST(embedding[10000] AS DOUBLE) AS missing FROM embeddings""")
 def array_nth(spark, sf_dir):
