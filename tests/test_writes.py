@@ -127,6 +127,15 @@ def test_several_instants_in_one_pass(spark):
         (day(1), 1.0), (day(4), 1.0), (day(5), 2.0), (day(9), 2.0)]
 
 
+def test_chain_of_statements_settles_between(spark):
+    table = VersionedTable(dml.put(products(spark, (1, "a", 1.0)), 1, day(1)), open_ended=True)
+    for n in range(2, 7):
+        table = table.update({"price": F.col("price") * 2}, n, day(n)).settled()
+    assert rows(table.all_versions(), "_valid_from", "price") == [
+        (day(n), 2.0 ** (n - 1)) for n in range(1, 7)]
+    assert table.log.count() == 6
+
+
 def test_snapshot_applies_one_time_to_all_tables(spark):
     log = dml.append(
         dml.put(products(spark, (1, "a", 1.0)), 1, day(1)),

@@ -14,6 +14,7 @@ from tidemark.columns import (
 from tidemark.operators import dml
 from tidemark.plans import resolve, visibility
 from tidemark.plans.skew import KeyProfile, profile
+from tidemark.session import checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -72,6 +73,15 @@ class VersionedTable:
             table.visible(), patches, tx, at, provided, table.open_ended, table.prof)
         return replace(table.after(rows), prof=table.prof.merged(profile(patches.select(ID))))
 
+    def settled(self) -> VersionedTable:
+        """The table with its log written out, for use between statements.
+
+        A statement reads the log to find the versions it touches and the result holds
+        both, so each further statement on an unsettled table doubles the plan.
+        """
+        checkpoint_dir(self.log.sparkSession)
+        return replace(self, log=self.log.checkpoint())
+
     def at_basis(self, tx: int) -> VersionedTable:
         """The table as it stood after transaction ``tx``: a repeatable read."""
         return replace(self, basis=tx)

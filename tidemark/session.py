@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -23,3 +25,19 @@ def build(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for cut lineage: the session's setting, or one for local runs.
+
+    On a cluster the setting must name storage every executor reaches, so nothing is
+    made up there.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        named = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    spark.sparkContext.setCheckpointDir(named)
+    return named
