@@ -60,7 +60,7 @@ def versions(
     cold = prof.cold(log)
     resolved = _resolve_open(cold) if open_ended else _resolve_swept(cold)
     if prof.hot:
-        resolved = resolved.unionByName(_resolve_hot(prof.heated(log), prof))
+        resolved = resolved.unionByName(_resolve_hot(prof.heated(log), prof, open_ended))
     return resolved
 
 
@@ -103,7 +103,25 @@ def _sweep(rows: DataFrame, cuts: dict) -> DataFrame:
     return ordered.mapInArrow(sweep.sweeper(rows.columns, cuts), schema)
 
 
-def _resolve_hot(log: DataFrame, prof: KeyProfile) -> DataFrame:
+def _chunk_highs(rows: DataFrame) -> DataFrame:
+    """Versions inside chunks where every write lasts to the end of its chunk.
+
+    The open-ended plan per chunk: record highs, each until the next or the chunk's end.
+    """
+    line = Window.partitionBy(ID, "_chunk").orderBy(VALID_FROM, *ORDER)
+    highs = (
+        rows.withColumn("_high", F.max(write_order()).over(
+            line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .where((F.col(f"_high.{TX}") == F.col(TX)) & (F.col(f"_high.{SEQ}") == F.col(SEQ)))
+    )
+    following = highs.withColumn("_next", F.lead(VALID_FROM).over(line))
+    return following.select(
+        ID, VALID_FROM, F.coalesce("_next", VALID_TO).alias(VALID_TO), TX, SEQ, "_put",
+        (F.col("_next").isNull() | F.col("_base")).alias("_edge"),
+    ).where(F.col(VALID_TO).isNull() | (F.col(VALID_TO) > F.col(VALID_FROM)))
+
+
+def _resolve_hot(log: DataFrame, prof: KeyProfile, open_ended: bool) -> DataFrame:
     """Resolve ids that hold more writes than one task should.
 
     Each timeline is cut into chunks of similar depth.  A write is cut to its first
@@ -124,16 +142,14 @@ def _resolve_hot(log: DataFrame, prof: KeyProfile) -> DataFrame:
         + [T.StructField("_level", T.IntegerType()), T.StructField("_chunk", T.IntegerType())]
     )
     pieces = narrow.mapInArrow(sweep.cutter(narrow.columns, cuts, depth), pieces_schema)
-    best = F.max(F.struct(TX, SEQ, "_put")).alias("_w")
-
-    def unpack(df: DataFrame) -> DataFrame:
-        return df.select(ID, VALID_FROM, VALID_TO, "_w.*", "_chunk")
-
-    details = unpack(
-        pieces.where(F.col("_level") < 0).groupBy(ID, "_chunk", VALID_FROM, VALID_TO).agg(best)
-    )
-    nodes = pieces.where(F.col("_level") >= 0).groupBy(
-        ID, "_level", F.col("_chunk").alias("_node")).agg(best)
+    keys = [ID, "_level", "_chunk", VALID_FROM, VALID_TO]
+    best = pieces.groupBy(*keys).agg(F.max(F.struct(TX, SEQ, "_put")).alias("_w"))
+    # Generated rows keep the two filters below from being pushed apart, so the pieces
+    # are made and shuffled once.
+    best = best.select(F.inline(F.array(F.struct(*keys, "_w"))))
+    details = best.where(F.col("_level") < 0)
+    nodes = best.where(F.col("_level") >= 0).select(
+        ID, "_level", F.col("_chunk").alias("_node"), "_w")
 
     # One row per chunk of a hot id: bounded by the cuts already on the driver.
     leaf_schema = T.StructType(
@@ -142,12 +158,17 @@ def _resolve_hot(log: DataFrame, prof: KeyProfile) -> DataFrame:
         sweep.leaf_table(cuts, narrow.schema[VALID_FROM].dataType), leaf_schema)
     ancestors = leaves.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(depth)))).withColumn(
         "_node", F.expr("shiftright(_chunk, _level)"))
-    base = unpack(
+    base = (
         ancestors.join(nodes, [ID, "_level", "_node"])
         .groupBy(ID, "_chunk", VALID_FROM, VALID_TO).agg(F.max("_w").alias("_w"))
     )
-    order = [*narrow.columns, "_chunk"]
-    swept = _sweep(details.select(order).unionByName(base.select(order)), cuts).where("_put")
+    shape = [ID, VALID_FROM, VALID_TO, "_w.*", "_chunk"]
+    rows = details.select(*shape, F.lit(False).alias("_base")).unionByName(
+        base.select(*shape, F.lit(True).alias("_base")))
+    if open_ended:
+        swept = _chunk_highs(rows).where("_put")
+    else:
+        swept = _sweep(rows.select(*narrow.columns, "_chunk"), cuts).where("_put")
     inner = swept.where(~F.col("_edge")).select(ID, VALID_FROM, VALID_TO, TX, SEQ)
 
     # At most two versions per chunk touch a cut, so this window is small for any id.
