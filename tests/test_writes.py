@@ -192,6 +192,9 @@ def test_many_tables_share_a_transaction_and_new_columns_appear(spark, store):
     store.transact(day(2), {"a": dml.put(wider, 1, day(2))})
     assert rows(store.table("a").current(day(3)), "_id", "color") == [(1, None), (2, "red")]
     assert rows(store.table("a", basis=0).current(day(3)), "_id") == [(1,)]
+    assert store.table("a").open_ended
+    store.transact(day(3), {"b": dml.put(products(spark, (2, "w", 1.0)), 2, day(3), valid_to=day(9))})
+    assert not store.table("b").open_ended
     assert rows(store.list_tables(), "table_name") == [("a",), ("b",)]
 
 

@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.columns import ID, LOG_COLUMNS, TX
+from tidemark.columns import ID, LOG_COLUMNS, TX, VALID_TO
 from tidemark.functions.names import table_identifier
 from tidemark.operators.travel import VersionedTable
 from tidemark.plans import visibility
@@ -136,17 +136,22 @@ class LogStore:
         done = visibility.committed(rows.select(ID, TX), self.txs())
         return done.withColumn(ID, F.col(ID).cast(id_type))
 
-    def table(self, name: str, basis: int | None = None, open_ended: bool = False) -> VersionedTable:
+    def table(
+        self, name: str, basis: int | None = None, open_ended: bool | None = None
+    ) -> VersionedTable:
         """The committed part of a table.
 
         Uncommitted transactions are whole directories, so leaving them out prunes
-        partitions; rows are not joined with the transaction table.
+        partitions; rows are not joined with the transaction table.  Unless told, the
+        store looks for bounded writes; files without any are skipped by their statistics.
         """
         log = self.raw_log(name)
         staged = self.staged(name)
         if staged:
             log = log.where(~F.col("commit").isin(staged))
         log = log.drop("commit")
+        if open_ended is None:
+            open_ended = not log.where(F.col(VALID_TO).isNotNull()).select(VALID_TO).take(1)
         return VersionedTable(
             log, open_ended=open_ended,
             erasures=self.erasures(name, log.schema[ID].dataType), basis=basis)
