@@ -80,9 +80,9 @@ def date_add_interval(spark, sf_dir):
         F.expr("o_orderdate + INTERVAL 1 YEAR").alias("year_later"))
 
 
-@query("""SELECT event_id, epoch_ms(1704067200000 + event_id * 86399123) AS moment FROM events""")
+@query("""SELECT event_id, date_trunc('millisecond', ts) AS moment FROM events""")
 def epoch_ms_to_ts(spark, sf_dir):
-    millis = F.lit(1704067200000) + F.col("event_id") * 86399123
+    millis = F.unix_timestamp("ts") * 1000 + F.date_format("ts", "SSS").cast("bigint")
     return logs.table(spark, sf_dir, "events").select(
         "event_id", temporal.from_epoch_millis(millis).alias("moment"))
 
