@@ -37,8 +37,6 @@ def instant_literal(value, data_type: T.DataType) -> Column:
     """A literal instant of the log's own timestamp type (zoned or not)."""
     if isinstance(value, Column):
         return value
-    if isinstance(value, str):
-        return F.lit(value).cast(data_type)
     return F.lit(value).cast(data_type)
 
 

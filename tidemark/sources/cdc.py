@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.columns import (
-    DELETE, ID, LOG_COLUMNS, OP, PUT, SEQ, SYSTEM_FROM, TX, VALID_FROM, VALID_TO,
+    DELETE, ID, OP, PUT, SEQ, SYSTEM_FROM, TX, VALID_FROM, VALID_TO,
 )
 from tidemark.functions.temporal import from_epoch_millis
 
@@ -169,9 +169,3 @@ def tally(normalised: DataFrame) -> DataFrame:
     )
     return accepted(normalised).groupBy("table", kind.alias("operation")).agg(
         F.count("*").alias("n"))
-
-
-__all__ = [
-    "LOG_COLUMNS", "accepted", "data_keys", "normalise", "read_array_file", "read_lines",
-    "rejected", "route", "tally", "to_log",
-]
