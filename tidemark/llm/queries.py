@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules, simhash
+from tidemark.llm import quality_rules, simhash, substring_dedup, suffix_dedup
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -32,3 +32,17 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 35 words."""
+    return substring_dedup.without_repeats(documents(spark, sf_dir), length=35).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op8_suffix_array_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of 100 bytes."""
+    return suffix_dedup.without_repeats(documents(spark, sf_dir), length=100).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
