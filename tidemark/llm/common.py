@@ -15,14 +15,14 @@ SPACES = "\\x20\\x09-\\x0D"
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the id and the text, as ``doc_id`` and ``text``; a null text becomes empty.
+def texts(docs: DataFrame, *more: str) -> DataFrame:
+    """Only the id, the text and what is named besides; a null text becomes empty.
 
     Also sends the package to the executors, for the operators that run Python there.
     Selecting first is what makes extra columns, whatever their names, harmless.
     """
     ship(docs.sparkSession)
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

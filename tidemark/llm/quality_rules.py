@@ -7,6 +7,7 @@ function, no shuffle and no state, so cost follows the text and any executor can
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -98,26 +99,26 @@ RATIOS = {
 }
 
 
-def compiled(rules: tuple[Rule, ...]) -> Column:
+def compiled(rules: tuple[Rule, ...], measure: Callable[[str], Column] = F.col) -> Column:
     """One boolean expression: all rules hold. Ratios compare by multiplication, so no division by zero."""
     verdict = F.lit(True)
     for rule in rules:
         part, whole = RATIOS.get(rule.measure, (rule.measure, None))
-        of = F.col(whole) if whole else F.lit(1)
+        of = measure(whole) if whole else F.lit(1)
         if rule.low is not None:
-            verdict = verdict & (F.col(part) >= F.lit(rule.low) * of)
+            verdict = verdict & (measure(part) >= F.lit(rule.low) * of)
         if rule.high is not None:
-            verdict = verdict & (F.col(part) <= F.lit(rule.high) * of)
+            verdict = verdict & (measure(part) <= F.lit(rule.high) * of)
     return verdict
 
 
-def _measured(rows: DataFrame, key: str) -> DataFrame:
-    """``key`` and all measures of ``text``."""
-    split = rows.select(
-        key, "text",
-        F.filter(F.split("text", f"[{SPACES}]+"), lambda w: w != "").alias("words"),
-        F.filter(F.split("text", "\n"), lambda line: line.rlike(f"[^{SPACES}]")).alias("lines"))
-    return split.select(key, *[c.alias(n) for n, c in measures(F.col("text"), F.col("words"), F.col("lines")).items()])
+def measured(text: Column) -> Column:
+    """All measures of a text as one struct. Words and lines are bound once: the optimiser may
+    move this expression into a filter, and must not split the text for each use."""
+    split = F.struct(
+        text.alias("text"), F.filter(F.split(text, f"[{SPACES}]+"), lambda w: w != "").alias("words"),
+        F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{SPACES}]")).alias("lines"))
+    return let(split, lambda x: F.struct(*[c.alias(n) for n, c in measures(x["text"], x["words"], x["lines"]).items()]))
 
 
 def judge(docs: DataFrame, base: tuple[Rule, ...] = BASE, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -126,15 +127,10 @@ def judge(docs: DataFrame, base: tuple[Rule, ...] = BASE, rules: tuple[Rule, ...
     A null text counts as empty: no words, so it fails the base. Repeated rows each get their
     row; extra columns are left out; an empty table gives an empty result.
     """
-    counted = _measured(texts(docs), "doc_id")
+    counted = texts(docs).select("doc_id", measured(F.col("text")).alias("m")).select("doc_id", "m.*")
     return counted.withColumn("base_failed", ~compiled(base)).withColumn("kept", ~F.col("base_failed") & compiled(rules))
 
 
-def keep(docs: DataFrame, base: tuple[Rule, ...] = BASE, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns; no join, the verdict is one filter.
-
-    The row travels as one struct beside the measures, so that no column name can clash.
-    """
-    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-    counted = _measured(row.withColumn("text", F.coalesce(F.col("row.text"), F.lit(""))), "row")
-    return counted.where(compiled(base + rules)).select("row.*")
+def keep(docs: DataFrame, rules: tuple[Rule, ...] = BASE + RULES) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns: one filter, no join."""
+    return docs.where(let(measured(F.coalesce(docs["text"], F.lit(""))), lambda m: compiled(rules, lambda name: m[name])))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules, simhash, substring_dedup, suffix_dedup
+from tidemark.llm import bpe, packing, quality_rules, secrets, simhash, substring_dedup, suffix_dedup
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -22,12 +23,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op1_cost_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 4,096 ids; each document is closed by id 2."""
+    return packing.pack(documents(spark, sf_dir), packing.Packing(public_tokenizers.path("word_bpe_49k.json"))).drop("ids")
+
+
+@query("op3_secret_scans")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, two differing bits."""
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, limit=2)
 
 
+@query("op6_bpe_chunk_reuse")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.coded(documents(spark, sf_dir), bpe.Coding(public_tokenizers.path("word_bpe_49k.json"))).drop("ids", "decoded")
+
+
 @query("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).select(

@@ -154,8 +154,11 @@ def places(tag: np.ndarray, start: np.ndarray, windows: np.ndarray, own: np.ndar
 
 
 def _tagged(docs: DataFrame) -> DataFrame:
-    """``tag`` tells apart different texts given under one id; equal rows count as one document."""
-    return texts(docs).withColumn("tag", F.xxhash64("text").bitwiseAND(F.lit((1 << 23) - 1)))
+    """``tag`` tells apart different texts given under one id; equal rows count as one document.
+    ``row`` holds the whole row."""
+    row = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("row")
+    return texts(docs.select(row, docs["doc_id"], docs["text"]), "row").withColumn(
+        "tag", F.xxhash64("text").bitwiseAND(F.lit((1 << 23) - 1)))
 
 
 def _occurrences(rows: DataFrame, alphabet: Alphabet, shape: Shape) -> DataFrame:
@@ -279,12 +282,13 @@ def _fetch(rows: DataFrame, need: DataFrame, alphabet: Alphabet, shape: Shape) -
 
 
 def repeats(docs: DataFrame, alphabet: Alphabet, shape: Shape, work: ShardWork, others_only: bool) -> DataFrame:
-    """``doc_id``, ``text``, ``tag`` and ``found``, the list of (place, bits) of its repeated windows.
+    """``row``, ``doc_id``, ``text``, ``tag`` and ``found``, the list of (place, bits) of its repeated windows.
 
     With ``others_only`` the first occurrence of a segment goes by its bits and all others are
     repeats; otherwise every occurrence of a segment with several copies is a repeat.
     """
-    rows = _tagged(docs)
+    whole_rows = _tagged(docs)
+    rows = whole_rows.select("doc_id", "text", "tag")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     # 1. Anchors that can repeat, and the occurrences of their segments.
@@ -316,7 +320,7 @@ def repeats(docs: DataFrame, alphabet: Alphabet, shape: Shape, work: ShardWork,
     found = occurrences.join(known, ["anchor", "segment"]).select(
         F.col("doc_id").alias("of"), "place", F.when(whole, F.lit(-1).cast("long")).otherwise(F.col("bits")).alias("bits"))
     per_doc = found.where("bits <> 0").groupBy("of").agg(F.collect_list(F.struct("place", "bits")).alias("found"))
-    return rows.join(per_doc, rows["doc_id"].eqNullSafe(per_doc["of"]), "left").select("doc_id", "text", "tag", "found")
+    return whole_rows.join(per_doc, whole_rows["doc_id"].eqNullSafe(per_doc["of"]), "left").select("row", "doc_id", "text", "tag", "found")
 
 
 def _dense(fetched: DataFrame, dtype: str, shape: Shape, id_type: str, others_only: bool) -> DataFrame:

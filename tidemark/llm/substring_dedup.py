@@ -30,7 +30,7 @@ def without_repeats(docs: DataFrame, length: int = 35, gram: int = 8, dense: int
     def work(texts: list[np.ndarray], windows: np.ndarray, copies: np.ndarray, ranks: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return repeated_windows(texts, length, skip=copies)
 
-    found = repeats(docs, WORDS, Shape(length, gram, dense), work, others_only=False)
+    found = repeats(docs, WORDS, Shape(length, gram, dense), work, others_only=False).drop("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -33,7 +33,9 @@ def later_windows(texts: list[np.ndarray], windows: np.ndarray, ranks: np.ndarra
 
 
 def without_repeats(docs: DataFrame, length: int = 100, gram: int = 24, dense: int = 20_000) -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (binary) and ``kept_sha256``.
+    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept``, ``kept_sha256`` (of the bytes kept) and ``row``, the input row.
+
+    ``kept`` is text again: bytes at a cut that no longer make a whole character are left out of it.
 
     A byte goes when a string of ``length`` bytes around it also starts earlier: in a smaller
     id, or earlier in the same document. Strings are judged on the input. Null and empty texts have
@@ -57,12 +59,13 @@ def without_repeats(docs: DataFrame, length: int = 100, gram: int = 24, dense: i
                 total.append(len(values))
                 removed.append(int(gone.sum()))
                 spans.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
-                kept.append(left)
+                kept.append(left.decode("utf-8", "ignore"))
                 digest.append(hashlib.sha256(left).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
-                 pa.array(kept, pa.binary()), pa.array(digest, pa.string())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
+                 pa.array(kept, pa.string()), pa.array(digest, pa.string()), batch.column("row")],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", "row"])
 
-    id_type = found.schema["doc_id"].dataType.simpleString()
-    return found.mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    id_type, row_type = (found.schema[c].dataType.simpleString() for c in ("doc_id", "row"))
+    return found.mapInArrow(
+        run, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept string, kept_sha256 string, row {row_type}")
