@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, packing, quality_rules, secrets, simhash, substring_dedup, suffix_dedup
+from tidemark.llm import bpe, fingerprints, packing, quality_rules, secrets, simhash, substring_dedup, suffix_dedup
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -63,3 +63,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strings of 100 bytes."""
     return suffix_dedup.without_repeats(documents(spark, sf_dir), length=100).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op10_document_fingerprints")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.versions(documents(spark, sf_dir))
