@@ -15,7 +15,7 @@ SPACES = "\\x20\\x09-\\x0D"
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def texts(docs: DataFrame, *more: str) -> DataFrame:
+def texts(docs: DataFrame, *more: str | Column) -> DataFrame:
     """Only the id, the text and what is named besides; a null text becomes empty.
 
     Also sends the package to the executors, for the operators that run Python there.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, fingerprints, packing, quality_rules, secrets, simhash, substring_dedup, suffix_dedup
+from tidemark.llm import bpe, cotrain, fingerprints, packing, pii, quality_rules, secrets, simhash, substring_dedup, suffix_dedup
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -34,6 +34,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+@query("op4_information_sanitisation")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(documents(spark, sf_dir)).drop("found")
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, two differing bits."""
@@ -68,3 +73,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_document_fingerprints")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.versions(documents(spark, sf_dir))
+
+
+@query("op9_cotrained_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
