@@ -30,8 +30,12 @@ def _part(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated_intervals(texts: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All suffixes in merged order as (text, offset), and the block of each: suffixes of one
-    block share their first ``length`` symbols."""
+    """The suffixes whose first ``length`` symbols occur twice or more, in merged order: text,
+    offset and block. Suffixes of one block share these symbols.
+
+    A suffix that is alone in its block stays alone however it is extended, so it leaves at once;
+    so do suffixes shorter than a round, which end in an end mark of their own.
+    """
     parts, held, size = [], [], 0
     for t in texts:
         held.append(t)
@@ -43,51 +47,42 @@ def repeated_intervals(texts: list[np.ndarray], length: int) -> tuple[np.ndarray
         parts.append(_part(held))
 
     joined = np.concatenate([p[0] for p in parts])
-    joined = np.unique(joined, return_inverse=True)[1].astype(np.int64)  # dense; 0 stays the end mark
+    ends = np.nonzero(joined == 0)[0]
+    begin = np.concatenate([[0], ends[:-1] + 1])
     base = np.cumsum([0] + [len(p[0]) for p in parts[:-1]])
-    suffix = np.concatenate([order + b for (_, order), b in zip(parts, base)])  # of each row, part by part
+    suffix = np.concatenate([order + b for (_, order), b in zip(parts, base)]).astype(np.int32)  # of each row, part by part
     row = np.empty(len(suffix), np.int32)
     row[suffix] = np.arange(len(suffix), dtype=np.int32)
 
     # Two symbols a round where the pairs fit 16 bits, which sort by radix.
-    wide = int(joined.max()) + 1
-    step = 2 if wide * wide <= 1 << 16 else 1
-    ends = np.nonzero(joined == 0)[0]
-    after = np.full(len(joined), 2, np.int64)  # how far the end mark is: 0, 1, or more
-    after[ends] = 0
-    after[ends[ends > 0] - 1] = np.minimum(after[ends[ends > 0] - 1], 1)
-    head = joined * wide + np.concatenate([joined[1:], [0]]) if step == 2 else joined.copy()
-    head[ends] = 0
-    # Rows of suffixes shorter than a step are never reached from another row; they are known from the start.
-    short = row[np.nonzero(after < step)[0]]
-    short = short[np.argsort(short, kind="stable")]
-    short_head = head[suffix[short]]
-    to = suffix.astype(np.int64) - step
-    since = np.zeros(len(joined), np.int64)  # symbols since the start of the text, up to the step
-    begin = np.concatenate([[0], ends[:-1] + 1])
-    since[:] = step
-    since[begin] = 0
-    if step == 2:
-        second = begin + 1
-        second = second[second < len(joined)]
-        since[second] = np.minimum(since[second], 1)
-    reaches = since[suffix] >= step
-    code = np.where(reaches, head[np.maximum(to, 0)], 0).astype(np.uint16)
-    target = np.where(reaches, row[np.maximum(to, 0)], -1).astype(np.int32)
+    dense = np.unique(joined, return_inverse=True)[1]
+    wide = int(dense.max()) + 1
+    step = 2 if wide * wide <= 1 << 16 and length % 2 == 0 else 1
+    before = suffix - step
+    inside = np.zeros(len(joined), bool)  # places with a whole step before them in their text
+    inside[:] = True
+    for k in range(step):
+        inside[np.minimum(begin + k, ends)] = False
+    reaches = inside[suffix]
+    head = dense[before] * wide + dense[before + 1] if step == 2 else dense[before]
+    code = head.astype(np.uint16)  # the transform: what stands before each suffix
+    target = row[before]
 
     order = np.arange(len(suffix), dtype=np.int32)
-    block = np.zeros(len(suffix), np.int64)
-    fixed = len(short)
-    own_block = -1 - np.arange(fixed)  # a short suffix ends in its own end mark: alone in its block
-    for _ in range(-(-length // step)):
+    block = np.zeros(len(suffix), np.int32)
+    for _ in range(length // step):
         on = reaches[order]
-        moved, moved_block = order[on], block[on]
-        codes = np.concatenate([short_head.astype(np.uint16), code[moved]])
+        order, block = order[on], block[on]
+        codes = code[order]
         by = np.argsort(codes, kind="stable")
-        order = np.concatenate([short, target[moved]])[by]
-        came = np.concatenate([own_block, moved_block])[by]
-        codes = codes[by]
-        block = np.concatenate([[0], np.cumsum((codes[1:] != codes[:-1]) | (came[1:] != came[:-1]))])
-    at = suffix[order]
+        codes, block = codes[by], block[by]
+        new = np.ones(len(by) + 1, bool)
+        new[1:-1] = (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])
+        several = ~(new[:-1] & new[1:])
+        order = target[order[by[several]]]
+        block = np.cumsum(new[:-1], dtype=np.int32)[several]
+        if not len(order):
+            break
+    at = suffix[order].astype(np.int64)
     text = np.searchsorted(ends, at)
     return text, at - begin[text], block

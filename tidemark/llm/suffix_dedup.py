@@ -21,8 +21,6 @@ from tidemark.llm.segments import BYTES, Shape, covered, repeats
 def later_windows(texts: list[np.ndarray], windows: np.ndarray, ranks: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """A bit for each window that also starts earlier, by rank of its document and start there."""
     text, offset, block = repeated_intervals(texts, length)
-    whole = offset < windows[text]  # suffixes that are shorter than a window are alone in their block
-    text, offset, block = text[whole], offset[whole], block[whole]
     first = np.full(int(block.max()) + 1 if len(block) else 0, np.iinfo(np.int64).max)
     when = ranks[text] << 33 | starts[text] + offset
     np.minimum.at(first, block, when)
@@ -32,7 +30,7 @@ def later_windows(texts: list[np.ndarray], windows: np.ndarray, ranks: np.ndarra
     return bits
 
 
-def without_repeats(docs: DataFrame, length: int = 100, gram: int = 24, dense: int = 20_000) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = 100, gram: int = 40, dense: int = 20_000) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept``, ``kept_sha256`` (of the bytes kept) and ``row``, the input row.
 
     ``kept`` is text again: bytes at a cut that no longer make a whole character are left out of it.
