@@ -1,6 +1,7 @@
 """Change events: parsing rules, applying, and the stream."""
 
 import json
+import os
 from datetime import datetime, timezone
 
 import pytest
@@ -232,14 +233,43 @@ def test_uncommitted_batch_is_invisible(spark, tmp_path):
     assert ids(store.table("users").current(NOW)) == ["1", "2"]
 
 
-def test_redelivered_events_are_dropped(spark, tmp_path):
+def test_redelivered_events_are_dropped_and_late_ones_kept(spark, tmp_path):
     incoming = tmp_path / "in"
     incoming.mkdir()
-    lines = [{"k": 1, "t": "2024-01-01T00:00:00Z"}, {"k": 1, "t": "2024-01-01T00:00:05Z"},
-             {"k": 2, "t": "2024-01-01T00:00:01Z"}]
-    (incoming / "a.json").write_text("\n".join(map(json.dumps, lines)))
     stream = spark.readStream.schema("k int, t timestamp").json(str(incoming))
-    query = cdc_stream.without_redelivered(stream, ["k"], "t", "1 hour").writeStream.format(
-        "memory").queryName("deduped").trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert sorted(r["k"] for r in spark.sql("SELECT k FROM deduped").collect()) == [1, 2]
+
+    def run(name, lines):
+        (incoming / name).write_text("\n".join(map(json.dumps, lines)))
+        query = cdc_stream.without_redelivered(stream, ["k"], "1 hour").writeStream.format("parquet").option(
+            "path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    run("a.json", [{"k": 1, "t": "2024-01-01T00:00:00Z"}, {"k": 1, "t": "2024-01-01T00:00:05Z"}, {"k": 2, "t": "2024-01-01T00:00:01Z"}])
+    run("b.json", [{"k": 3, "t": "2030-01-01T00:00:00Z"}])
+    run("c.json", [{"k": 4, "t": "1999-01-01T00:00:00Z"}, {"k": 1, "t": "2024-01-01T00:00:00Z"}])
+    assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3, 4]
+
+
+def state_event(k, name, ms):
+    return {"op": "u", "source": {"table": "accounts", "ts_ms": ms}, "before": {"id": k}, "after": {"id": k, "name": name}}
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_newer_and_larger_file_wins(spark, tmp_path, streamed):
+    """Blocks reach tasks by size; the order of events is that of file time and place."""
+    incoming = tmp_path / "in"
+    incoming.mkdir()
+    old = [state_event(k, "old", 1000) for k in range(5)]
+    new = [state_event(k % 5, f"new{k}", 1000) for k in range(400)]
+    for stamp, (name, events) in enumerate({"z.json": old, "a.json": new}.items()):
+        (incoming / name).write_text("\n".join(map(json.dumps, events)))
+        os.utime(incoming / name, (1_700_000_000 + stamp, 1_700_000_000 + stamp))
+    if streamed:
+        store = LogStore(spark, str(tmp_path / "store"))
+        cdc_stream.apply(cdc_stream.from_files(spark, str(incoming)), store, str(tmp_path / "check")).awaitTermination()
+        table = store.table("accounts", open_ended=True)
+    else:
+        log = cdc.to_log(cdc.normalise(cdc.read_lines(spark, str(incoming)), NOW), 0, NOW)
+        table = VersionedTable(cdc.route(log, "accounts"), open_ended=True)
+    names = {r["_id"]: r["name"] for r in table.current(NOW).selectExpr("_id", "try_variant_get(doc, '$.name', 'string') as name").collect()}
+    assert names == {str(k): f"new{395 + k}" for k in range(5)}

@@ -72,22 +72,38 @@ def test_parameter_relation(spark, persons, movies):
 
 
 def test_older_than(persons):
-    """A theta join: one side is one row, paired without a product operator."""
+    """A theta join: one side is one row, written down as a literal relation."""
     found = unify(
         bind(persons, name="name", b2="born"),
-        bind(persons.where("name = 'Arnold Schwarzenegger'"), b1="born"),
+        relational.literal(bind(persons.where("name = 'Arnold Schwarzenegger'"), b1="born")),
         where=[F.col("b2") < F.col("b1")])
     assert values(found, "name") == ["George Miller", "Ridley Scott"]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
-def test_unrelated_large_relations_are_refused(spark):
-    a, b = spark.range(20).toDF("a"), spark.range(20).toDF("b")
-    with pytest.raises(ValueError, match="share no variable"):
-        unify(a, b, limit=10)
-    assert unify(a, b.where("b < 2"), limit=10).count() == 40
-    assert unify(a, b.where("b < 0"), limit=10).count() == 0
+def test_unrelated_relations_need_a_literal(spark):
+    """Whether a query is answered depends on what it says, not on row counts."""
+    a, b = spark.range(20).toDF("a"), spark.range(3000).toDF("b")
+    for few in (b, b.where("b < 2"), b.where("b < 0")):
+        with pytest.raises(ValueError, match="share no variable"):
+            unify(a, few)
+    assert unify(a, relational.literal(b.where("b < 2"))).count() == 40
+    assert unify(relational.literal(b.where("b < 0")), a).count() == 0
+    with pytest.raises(ValueError, match="no literal relation"):
+        relational.literal(b)
+
+
+def test_counting_an_inequality_join(spark):
+    """More than a thousand rows on both sides, ties and nulls, and no product in the plan."""
+    values = [(None if k % 97 == 0 else (k * 37 % 500) / 4,) for k in range(3000)]
+    limits = [(k, None if k % 89 == 0 else (k * 11 % 600) / 4) for k in range(1500)]
+    found = relational.count_above(
+        spark.createDataFrame(values, "v double"), "v", spark.createDataFrame(limits, "k int, l double"), "l", 7.0, "n")
+    want = {k: sum(v is not None and limit is not None and v > limit for (v,) in values) for k, limit in limits}
+    assert {r["k"]: r["n"] for r in found.collect()} == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "explode" not in plan
 
 
 def test_repeated_variable_equates_columns(spark):

@@ -108,6 +108,16 @@ def test_patch_fills_a_gap_only_with_given_keys(spark):
         (day(8), None, "new", 7.0)]
 
 
+def test_patch_of_versions_before_1970(spark):
+    early = [datetime(y, 1, 1) for y in (1950, 1955, 1960)]
+    log = dml.append(*[dml.put(products(spark, (1, f"v{k}", 1.0)), k + 1, t) for k, t in enumerate(early)])
+    patches = spark.createDataFrame([(1, 7.0)], "_id int, price double")
+    table = VersionedTable(dml.append(log, dml.patch(log, patches, 9, datetime(1952, 1, 1))))
+    got = rows(table.all_versions(), "_valid_from", "_valid_to", "name", "price")
+    at = [datetime(1950, 1, 1), datetime(1952, 1, 1), datetime(1955, 1, 1), datetime(1960, 1, 1), None]
+    assert got == list(zip(at, at[1:], ["v0", "v0", "v1", "v2"], [1.0, 7.0, 7.0, 7.0]))
+
+
 def test_record_brings_its_own_valid_from(spark):
     users = spark.createDataFrame(
         [("alice", datetime(2020, 1, 15)), ("bob", None)], "_id string, _valid_from timestamp_ntz")

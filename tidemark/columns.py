@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +39,9 @@ def instant_literal(value, data_type: T.DataType) -> Column:
     """A literal instant of the log's own timestamp type (zoned or not)."""
     if isinstance(value, Column):
         return value
+    if isinstance(value, datetime) and value.tzinfo is None:
+        # As text: a literal would be read in the driver's zone and shown in the session's.
+        value = value.isoformat(sep=" ")
     return F.lit(value).cast(data_type)
 
 

@@ -14,8 +14,15 @@ DATE = r"^\d{4}-\d{2}-\d{2}$"
 DATE_TIME = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 # Kinds that share a column widen to the first type able to hold both.
+# Whole numbers that the wider type would round stay exact: as decimals, or as text.
 WIDENING = {
     frozenset({"long"}): "bigint",
+    frozenset({"wide"}): "bigint",
+    frozenset({"long", "wide"}): "bigint",
+    frozenset({"huge"}): "decimal(38,0)",
+    frozenset({"long", "huge"}): "decimal(38,0)",
+    frozenset({"wide", "huge"}): "decimal(38,0)",
+    frozenset({"long", "wide", "huge"}): "decimal(38,0)",
     frozenset({"double"}): "double",
     frozenset({"long", "double"}): "double",
     frozenset({"boolean"}): "boolean",
@@ -26,12 +33,19 @@ WIDENING = {
 
 
 def kind_of(text: Column) -> Column:
-    """The kind of one text value; calendar-invalid dates are strings."""
+    """The kind of one text value; calendar-invalid dates are strings.
+
+    Whole numbers are ``long`` up to 2^53, which doubles hold too, then ``wide`` up to
+    64 bits, ``huge`` up to 38 digits, and strings beyond.
+    """
     whole = text.rlike(WHOLE)
+    number = text.try_cast("bigint")
     return (
         F.when(text.isNull() | (text == NULL_TEXT), "null")
-        .when(whole & text.try_cast("bigint").isNotNull(), "long")
-        .when(whole | text.rlike(DECIMAL), "double")
+        .when(whole & number.between(-(1 << 53), 1 << 53), "long")
+        .when(whole & number.isNotNull(), "wide")
+        .when(whole & text.try_cast("decimal(38,0)").isNotNull(), "huge")
+        .when(text.rlike(DECIMAL), "double")
         .when(text.rlike(BOOLEAN), "boolean")
         .when(text.rlike(DATE) & text.try_cast("date").isNotNull(), "date")
         .when(text.rlike(DATE_TIME) & text.try_cast("timestamp_ntz").isNotNull(), "timestamp")

@@ -154,7 +154,7 @@ def patch(
     created = _as_log(
         patches.select(ID, *[F.when(given[k], F.col(k)).alias(k) for k in keys]).withColumns({
             VALID_FROM: instant_literal(at, kind), VALID_TO: F.lit(None).cast(kind)}),
-        tx, at, PUT, F.lit(-1), kind)
+        tx, at, PUT, F.lit(-(1 << 63)), kind)
     wanted = log.join(patches.select(ID).distinct(), ID, "left_semi")
     before = affected(wanted, at, open_ended=open_ended, prof=prof)
     news = patches.select(
@@ -165,5 +165,5 @@ def patch(
         old = F.col(k) if k in before.columns else F.lit(None)
         merged = merged.withColumn(k, F.when(F.col(f"_has_{k}"), F.col(f"_new_{k}")).otherwise(old))
     merged = merged.drop(*[f"_new_{k}" for k in keys], *[f"_has_{k}" for k in keys])
-    kept = _as_log(merged, tx, at, PUT, F.greatest(micros(F.col(VALID_FROM), kind), F.lit(0)), kind)
+    kept = _as_log(merged, tx, at, PUT, micros(F.col(VALID_FROM), kind), kind)
     return created.unionByName(kept, allowMissingColumns=True)

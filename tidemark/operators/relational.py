@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-
-SMALL_ROWS = 1_000
+from pyspark.sql import types as T
 
 
 def rel(spark: SparkSession, rows: Sequence[Mapping], schema: str) -> DataFrame:
@@ -36,62 +36,92 @@ def bind(table: DataFrame, **bindings) -> DataFrame:
     return table.select(*chosen)
 
 
-def small_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
-    """The rows of ``df`` if there are at most ``limit`` of them, else None."""
-    rows = df.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
+@dataclass(frozen=True)
+class Literal:
+    """A relation written down row by row; it may be paired with one that shares nothing."""
 
+    rows: Sequence[Mapping]
+    schema: T.StructType
 
-def pair_with_few(left: DataFrame, right: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """Every row of ``left`` with every row of a relation of a few rows.
+    @property
+    def columns(self) -> list[str]:
+        return self.schema.names
 
-    The size of ``right`` is checked; it is carried as a literal array and exploded,
-    so the large side is neither shuffled nor multiplied by anything unbounded.
-    """
-    rows = small_rows(right, limit)
-    if rows is None:
-        raise ValueError(
-            f"relations share no variable and neither side has at most {limit} rows; "
-            "join them on a common variable"
-        )
-    if not rows:
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([tuple(r[n] for n in self.columns) for r in self.rows], self.schema)
+
+
+def literal(df: DataFrame, limit: int = 1_000) -> Literal:
+    """A dimension of at most ``limit`` rows, read now, as a literal relation; larger is an error."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows are no literal relation; join on a common variable")
+    return Literal([r.asDict() for r in rows], df.schema)
+
+
+def pair_with_literal(left: DataFrame, right: Literal) -> DataFrame:
+    """Every row of ``left`` with every row of ``right``, whose size the caller wrote down."""
+    if not right.rows:
         return left.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]
                            ).where(F.lit(False))
-    literal = F.array(*[
+    rows = F.array(*[
         F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in right.schema])
-        for r in rows
+        for r in right.rows
     ])
-    return left.withColumn("_few", F.explode(literal)).select(*left.columns, "_few.*")
+    return left.withColumn("_few", F.explode(rows)).select(*left.columns, "_few.*")
 
 
-def unify(
-    *relations: DataFrame, where: Sequence[Column] = (), limit: int = SMALL_ROWS
-) -> DataFrame:
+def unify(*relations: DataFrame | Literal, where: Sequence[Column] = ()) -> DataFrame:
     """Join relations on every variable they share; the order given is irrelevant.
 
     Each step takes a relation that shares a variable with what is joined so far, so
-    no needless product arises.  Relations sharing nothing are paired only when one
-    side is known to be small.  Bags: duplicates are kept.
+    no needless product arises.  What shares nothing must be a ``Literal``: whether a query is
+    answered never depends on how many rows its tables have.  Bags: duplicates are kept.
     """
-    pending = list(relations)
+    pending = sorted(relations, key=lambda r: isinstance(r, Literal))
     joined = pending.pop(0)
+    if isinstance(joined, Literal):
+        raise ValueError("at least one relation must be a table")
     while pending:
         linked = next((r for r in pending if set(r.columns) & set(joined.columns)), None)
-        if linked is not None:
-            pending.remove(linked)
-            shared = [c for c in joined.columns if c in linked.columns]
-            joined = joined.join(linked, shared)
-            continue
-        other = pending.pop(0)
-        if small_rows(other, limit) is not None:
-            joined = pair_with_few(joined, other, limit)
+        if linked is None:
+            linked = next((r for r in pending if isinstance(r, Literal)), None)
+            if linked is None:
+                raise ValueError("relations share no variable; join them on a common one or name one literal()")
+            joined = pair_with_literal(joined, linked)
         else:
-            joined = pair_with_few(other, joined, limit)
+            right = linked.frame(joined.sparkSession) if isinstance(linked, Literal) else linked
+            joined = joined.join(right, [c for c in joined.columns if c in right.columns])
+        pending.remove(linked)
     for condition in where:
         joined = joined.where(condition)
     return joined
 
 
+def count_above(table: DataFrame, value: str, limits: DataFrame, limit: str, width: float, name: str) -> DataFrame:
+    """``limits`` with the number of rows of ``table`` whose ``value`` is greater than ``limit``.
+
+    An inequality join that is counted, without its pairs.  Values are counted per band of
+    ``width``; a limit gets the totals of the bands above its own, summed along the bands, and
+    within its own band meets only different values.  Pick ``width`` so that bands hold few values.
+    """
+    band = lambda c: F.floor(F.col(c) / F.lit(width)).cast("bigint")
+    values = table.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_value")).agg(
+        F.count("*").alias("_n")).withColumn("_band", band("_value"))
+    marked = limits.withColumn("_band", band(limit))
+    points = marked.select(F.col(limit).alias("_limit"), "_band").where("_limit is not null").distinct()
+    # One row per band, whatever the tables hold: the running total is over these.
+    every = values.groupBy("_band").agg(F.sum("_n").alias("_in")).unionByName(
+        points.select("_band").distinct().withColumn("_in", F.lit(0).cast("bigint"))).groupBy("_band").agg(F.sum("_in").alias("_in"))
+    above = every.select(F.col("_band").alias("_of"), F.coalesce(F.sum("_in").over(
+        Window.orderBy(F.desc("_band")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_above"))
+    inside = points.join(values, "_band").where(F.col("_value") > F.col("_limit")).groupBy(F.col("_limit").alias("_point")).agg(
+        F.sum("_n").alias("_inside"))
+    found = marked.join(above, F.col("_band") == F.col("_of"), "left").join(inside, F.col(limit) == F.col("_point"), "left")
+    total = F.coalesce("_above", F.lit(0)) + F.coalesce("_inside", F.lit(0))
+    return found.select(*limits.columns, total.cast("bigint").alias(name))
+
+
 def left_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Left outer join whose right side may hold very many rows of one key.
 

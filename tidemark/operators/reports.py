@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.columns import ID, VALID_FROM, VALID_TO
 from tidemark.operators import dml
-from tidemark.operators.travel import VersionedTable, at_instants, with_status
+from tidemark.operators.travel import VersionedTable, with_status
 
 
 MILLION = 1_000_000
@@ -115,15 +115,13 @@ def billing_trend(
 ) -> DataFrame:
     """The billing totals of the whole book at several instants, in one job.
 
-    Each table's versions are resolved once and copied to the instants they cover;
-    nothing is read once per instant.  Totals shrink to one row per order, then per
+    Each table is read once, limited to one write per id and instant.  Totals shrink to one row per order, then per
     customer, before each join.
     """
-    buyers = at_instants(customer.columns("c_custkey").all_versions(), instants).select(
+    buyers = customer.columns("c_custkey").as_of_each(instants).select(
         F.col("as_of").alias("_buyer_at"), "c_custkey")
-    placed = at_instants(orders.columns("o_orderkey", "o_custkey").all_versions(), instants)
-    sold = at_instants(
-        lineitem.columns("l_orderkey", "l_extendedprice", "l_discount").all_versions(), instants)
+    placed = orders.columns("o_orderkey", "o_custkey").as_of_each(instants)
+    sold = lineitem.columns("l_orderkey", "l_extendedprice", "l_discount").as_of_each(instants)
     lines = _line_totals(sold, ["as_of", "l_orderkey"]).withColumnRenamed("as_of", "_line_at")
     per_order = placed.withColumn("_orders", F.lit(1)).join(
         lines,

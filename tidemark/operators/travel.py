@@ -21,6 +21,8 @@ from tidemark.session import checkpoint_dir
 class VersionedTable:
     """A write log with the settings that decide what of it is visible.
 
+    ``clock`` tells the system time of transactions, for reads as of one (``until``).
+
     ``open_ended`` promises that no write has a ``_valid_to``.  ``rows_per_task``
     caps how many writes of one id a task resolves before the id is split.
     """
@@ -32,6 +34,8 @@ class VersionedTable:
     basis: int | None = None
     rows_per_task: int | None = None
     prof: KeyProfile | None = None
+    clock: DataFrame | None = None
+    until: object = None
 
     def profiled(self) -> VersionedTable:
         """The table with its writes counted per id, so later reads need not count.
@@ -86,6 +90,12 @@ class VersionedTable:
         """The table as it stood after transaction ``tx``: a repeatable read."""
         return replace(self, basis=tx)
 
+    def at_basis_time(self, instant) -> VersionedTable:
+        """The table as the last transaction committed by ``instant`` left it."""
+        if self.clock is None:
+            raise ValueError("this table does not know the times of its transactions")
+        return replace(self, until=instant)
+
     def columns(self, *names: str) -> VersionedTable:
         """Keep some payload columns; fewer columns are scanned and shuffled."""
         return replace(self, log=self.log.select(*LOG_COLUMNS, *names))
@@ -98,6 +108,10 @@ class VersionedTable:
             rows = visibility.as_of_basis(rows, self.basis)
             if erasures is not None:
                 erasures = visibility.as_of_basis(erasures, self.basis)
+        if self.until is not None:
+            known = visibility.as_of_time(self.clock, self.until)
+            rows = visibility.committed(rows, known)
+            erasures = None if erasures is None else visibility.committed(erasures, known)
         if self.txs is not None:
             rows = visibility.committed(rows, self.txs)
         if erasures is not None:
@@ -108,6 +122,10 @@ class VersionedTable:
         """FOR VALID_TIME AS OF: one row per id, temporal columns hidden."""
         return resolve.as_of(self.visible(), instant)
 
+    def as_of_each(self, instants: Sequence) -> DataFrame:
+        """Rows valid at each of the instants, in one pass; ``as_of`` names the instant."""
+        return resolve.as_of_each(self.visible(), instants)
+
     def current(self, now=None) -> DataFrame:
         """Rows valid now.  ``now=None`` takes the session's clock."""
         return self.as_of(F.current_timestamp() if now is None else now)

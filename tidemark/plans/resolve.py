@@ -30,6 +30,7 @@ from tidemark.columns import (
 from tidemark.plans import sweep
 from tidemark.plans.skew import KeyProfile, cut_points, profile
 from tidemark.plans.visibility import valid_periods
+from tidemark.session import ship
 
 
 def as_of(log: DataFrame, instant) -> DataFrame:
@@ -43,6 +44,25 @@ def as_of(log: DataFrame, instant) -> DataFrame:
     return winner.where(F.col(OP) == PUT).select(ID, *payload_columns(log))
 
 
+def as_of_each(log: DataFrame, instants, name: str = "as_of") -> DataFrame:
+    """Rows valid at each of several instants, which ``name`` tells apart.
+
+    Writes that cover none are left out first; the others are copied to the instants they
+    cover and limited to one per id and instant below the shuffle, as in ``as_of``.  No
+    history is sorted, and the work of a large id is shared out by instant.
+    """
+    kind = instant_type(log)
+    listed = F.array(*[instant_literal(i, kind) for i in instants])
+    covered = F.filter(listed, lambda t: (F.col(VALID_FROM) <= t) & (
+        F.col(VALID_TO).isNull() | (F.col(VALID_TO) > t)))
+    reaching = valid_periods(log).where(F.col(VALID_FROM) <= F.array_max(listed)).where(
+        F.col(VALID_TO).isNull() | (F.col(VALID_TO) > F.array_min(listed)))
+    newest = Window.partitionBy(ID, name).orderBy(*[F.desc(c) for c in ORDER])
+    winner = reaching.withColumn(name, F.explode(covered)).withColumn(
+        "_rank", F.row_number().over(newest)).where("_rank = 1")
+    return winner.where(F.col(OP) == PUT).select(ID, name, *payload_columns(log))
+
+
 def versions(
     log: DataFrame,
     open_ended: bool = False,
@@ -58,7 +78,7 @@ def versions(
     prof = prof or profile(log.select(ID), rows_per_task)
     log = valid_periods(log)
     cold = prof.cold(log)
-    resolved = _resolve_open(cold) if open_ended else _resolve_swept(cold)
+    resolved = _resolve_open(cold) if open_ended else _resolve_mixed(cold)
     if prof.hot:
         resolved = resolved.unionByName(_resolve_hot(prof.heated(log), prof, open_ended))
     return resolved
@@ -91,6 +111,14 @@ def _attach_payload(segments: DataFrame, log: DataFrame) -> DataFrame:
     return joined.select(*[c for c in log.columns if c != OP])
 
 
+def _resolve_mixed(log: DataFrame) -> DataFrame:
+    """Ids without a bounded write resolve in the JVM; only the others are swept."""
+    bounded = log.where(F.col(VALID_TO).isNotNull()).select(F.col(ID).alias("_bounded")).distinct()
+    same = F.col(ID) == F.col("_bounded")
+    return _resolve_open(log.join(bounded, same, "left_anti")).select(*[c for c in log.columns if c != OP]).unionByName(
+        _resolve_swept(log.join(bounded, same, "left_semi")))
+
+
 def _resolve_swept(log: DataFrame) -> DataFrame:
     rows = _narrow(log).withColumn("_chunk", F.lit(0))
     segments = _sweep(rows, {}).where("_put").drop("_chunk", "_put", "_edge")
@@ -99,6 +127,7 @@ def _resolve_swept(log: DataFrame) -> DataFrame:
 
 def _sweep(rows: DataFrame, cuts: dict) -> DataFrame:
     schema = T.StructType(list(rows.schema.fields) + [T.StructField("_edge", T.BooleanType())])
+    ship(rows.sparkSession)
     ordered = rows.repartition(ID, "_chunk").sortWithinPartitions(ID, "_chunk", VALID_FROM)
     return ordered.mapInArrow(sweep.sweeper(rows.columns, cuts), schema)
 
@@ -141,6 +170,7 @@ def _resolve_hot(log: DataFrame, prof: KeyProfile, open_ended: bool) -> DataFram
         [T.StructField(f.name, f.dataType) for f in narrow.schema.fields]
         + [T.StructField("_level", T.IntegerType()), T.StructField("_chunk", T.IntegerType())]
     )
+    ship(spark)
     pieces = narrow.mapInArrow(sweep.cutter(narrow.columns, cuts, depth), pieces_schema)
     keys = [ID, "_level", "_chunk", VALID_FROM, VALID_TO]
     best = pieces.groupBy(*keys).agg(F.max(F.struct(TX, SEQ, "_put")).alias("_w"))

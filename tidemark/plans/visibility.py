@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.columns import ID, TX, VALID_FROM, VALID_TO
+from tidemark.columns import ID, TX, VALID_FROM, VALID_TO, instant_literal
 
 
 def valid_periods(log: DataFrame) -> DataFrame:
@@ -32,6 +32,12 @@ def as_of_basis(log: DataFrame, basis: int) -> DataFrame:
     return log.where(F.col(TX) <= F.lit(basis))
 
 
+def as_of_time(txs: DataFrame, instant) -> DataFrame:
+    """The transactions committed at or before a system time."""
+    at = instant_literal(instant, txs.schema["system_time"].dataType)
+    return txs.where(F.col("system_time") <= at)
+
+
 def without_erased(log: DataFrame, erasures: DataFrame) -> DataFrame:
     """Hide every write to an erased id made before its erasure.
 

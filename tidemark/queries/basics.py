@@ -61,6 +61,18 @@ def json_records_ingest(spark, sf_dir):
     return log.select(ID, F.try_variant_get("doc", "$.props.k", "bigint").alias("k"), VALID_FROM)
 
 
+_BROKEN = """CASE WHEN event_id % 7 = 0 THEN '{"_id":' || event_id || ',' WHEN event_id % 11 = 0 THEN '{"k":1}'
+  WHEN event_id % 13 = 0 THEN '' ELSE '{"_id":' || event_id || '}' END"""
+
+
+@query(f"""SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'not json' WHEN event_id % 11 = 0 THEN 'no id'
+  ELSE 'empty value' END AS reject_reason, {_BROKEN} AS json
+  FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0 OR event_id % 13 = 0""")
+def json_rejects(spark, sf_dir):
+    texts = logs.table(spark, sf_dir, "events").select("event_id", F.expr(_BROKEN).alias("json"))
+    return records.rejected_json(texts, "json", "bigint")
+
+
 _TEXT_SQL = """SELECT 'user_id' AS name, CAST(user_id AS VARCHAR) AS v FROM events
   UNION ALL SELECT 'event_type', event_type FROM events
   UNION ALL SELECT 'ts', strftime(ts, '%Y-%m-%d %H:%M:%S') FROM events

@@ -131,9 +131,9 @@ def theta_join(spark, sf_dir):
     part = logs.table(spark, sf_dir, "part")
     brands = part.groupBy(F.col("p_brand").alias("brand")).agg(
         F.round(F.avg(F.col("p_retailprice").cast("decimal(18,2)")), 2).cast("double").alias("typical"))
-    return unify(
-        bind(part, price="p_retailprice"), brands, where=[F.col("price") > F.col("typical")]
-    ).groupBy("brand").agg(F.count("*").alias("dearer_parts"))
+    prices = part.select(F.col("p_retailprice").cast("double").alias("price"))
+    return relational.count_above(prices, "price", brands, "typical", 10.0, "dearer_parts").where(
+        "dearer_parts > 0").select("brand", "dearer_parts")
 
 
 @query("""SELECT s_suppkey AS supplier, r_name AS region, n_regionkey = r_regionkey AS home
@@ -143,7 +143,7 @@ def cross_join(spark, sf_dir):
         bind(logs.table(spark, sf_dir, "supplier"), supplier="s_suppkey", n="s_nationkey"),
         bind(logs.table(spark, sf_dir, "nation"), n="n_nationkey", home="n_regionkey"))
     regions = bind(logs.table(spark, sf_dir, "region"), r="r_regionkey", region="r_name")
-    return unify(home, regions).select(
+    return unify(home, relational.literal(regions)).select(
         "supplier", "region", (F.col("home") == F.col("r")).alias("home"))
 
 

@@ -1,5 +1,8 @@
 """Reading versioned tables."""
 
+from dataclasses import replace
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tidemark.columns import ID, TX, VALID_FROM, VALID_TO
@@ -77,6 +80,19 @@ def system_as_of(spark, sf_dir, basis=500_000):
     return table.at_basis(basis).as_of(LATER)
 
 
+CLOCK = "TIMESTAMP '2024-01-01 00:00:00' + to_seconds(_tx)"
+
+
+@query(as_of_sql(
+    f"SELECT * FROM ({LATE_SQL}) WHERE {CLOCK} <= TIMESTAMP '2024-01-05 00:00:00'", LATER, STATE))
+def system_as_of_time(spark, sf_dir, instant=datetime(2024, 1, 5)):
+    """Transactions are a second apart; the basis is given as an instant."""
+    table = logs.late_log(spark, sf_dir).columns("event_type", "value")
+    clock = table.log.select(TX).distinct().withColumn(
+        "system_time", F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, _tx)"))
+    return replace(table, clock=clock.withColumn("committed", F.lit(True))).at_basis_time(instant).as_of(LATER)
+
+
 @query(versions_sql(LATE_SQL, """SELECT _id, _valid_from, _valid_to,
   CAST(date_diff('second', _valid_from, _valid_to) AS BIGINT) >= 86400 AS over_a_day FROM versions"""))
 def version_intervals(spark, sf_dir):

@@ -7,11 +7,12 @@ event comes out of ``normalise`` with either a write or the reason it is none.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.columns import (
-    DELETE, ID, OP, PUT, SEQ, SYSTEM_FROM, TX, VALID_FROM, VALID_TO,
+    DELETE, ID, OP, PUT, SEQ, SYSTEM_FROM, TX, VALID_FROM, VALID_TO, instant_literal,
 )
 from tidemark.functions.temporal import from_epoch_millis
 
@@ -21,16 +22,43 @@ KNOWN_OPS = ("c", "r", "u", "d")
 def read_array_file(spark: SparkSession, path: str) -> DataFrame:
     """Events of a JSON array file: ``_position`` in the array and a VARIANT ``event``."""
     whole = spark.read.option("multiLine", True).option("singleVariantColumn", "v").json(path)
-    whole.createOrReplaceTempView("_cdc_array")
     return spark.sql(
         "SELECT CAST(e.pos AS BIGINT) AS _position, e.value AS event "
-        "FROM _cdc_array, LATERAL variant_explode(v) AS e")
+        "FROM {whole}, LATERAL variant_explode(v) AS e", whole=whole)
+
+
+PLACE = ("_file_time", "_file", "_block")
+
+
+def placed_lines(lines: DataFrame) -> DataFrame:
+    """Text lines as ``event`` with the place they were read from, batch or stream."""
+    return lines.select(
+        F.col("value").alias("event"), F.col("_metadata.file_modification_time").alias("_file_time"),
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+
+
+def in_order(events: DataFrame) -> DataFrame:
+    """``_position`` by file time, path and place in the file.
+
+    Tasks get blocks of files by size, so a task's number says nothing about order; rows
+    of one block do stay in order.  Blocks, as many as there are tasks or so, are ranked
+    and a row's position is its block's rank and its number in the task.
+    """
+    place = [F.col(c) for c in PLACE]
+    blocks = events.select(*PLACE).distinct().select(
+        *[c.alias(f"{n}_of") for n, c in zip(PLACE, place)],
+        F.row_number().over(Window.orderBy(*PLACE)).alias("_rank"))
+    numbered = events.withColumn("_number", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_of")) for c in PLACE]
+    # Broadcast: one row per block of input read, far fewer than events.
+    found = numbered.join(F.broadcast(blocks), same[0] & same[1] & same[2])
+    return found.withColumn("_position", F.shiftleft(F.col("_rank").cast("bigint"), 33) + F.col("_number")).drop(
+        *PLACE, *[f"{c}_of" for c in PLACE], "_rank", "_number")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Events of JSON-lines files, in file order within each file."""
-    return spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("_position"), F.col("value").alias("event"))
+    """Events of JSON-lines files, older files first and in file order within each."""
+    return in_order(placed_lines(spark.read.text(path)))
 
 
 def _at(value: Column, key: str, kind: str = "variant") -> Column:
@@ -97,7 +125,7 @@ def normalise(
     known = known.withColumns({
         "record_id": _at(F.col("data"), id_field, "string"),
         "valid_from": F.coalesce(
-            from_epoch_millis(F.col("_millis")), F.lit(now).cast("timestamp_ntz")),
+            from_epoch_millis(F.col("_millis")), instant_literal(now, T.TimestampNTZType())),
     })
     no_data = F.col("data").isNull() | F.is_variant_null("data")
     reason = (
@@ -149,7 +177,7 @@ def to_log(normalised: DataFrame, tx, system_from, id_field: str = "id") -> Data
         F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
         F.lit(tx).cast("bigint").alias(TX),
         F.col(SEQ).cast("bigint").alias(SEQ),
-        F.lit(system_from).cast("timestamp_ntz").alias(SYSTEM_FROM),
+        instant_literal(system_from, T.TimestampNTZType()).alias(SYSTEM_FROM),
         F.when(F.col("deleted"), DELETE).otherwise(PUT).alias(OP),
         F.when(~F.col("deleted"), data_keys(F.col("data"), id_field)).alias("doc"),
         "table",

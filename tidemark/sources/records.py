@@ -34,10 +34,21 @@ def from_json_text(
 ) -> DataFrame:
     """JSON documents as ``_id`` plus one VARIANT column; no field list needed.
 
-    Text that is no JSON, or has no id, gives a NULL id, which the log ignores.
+    Text that is no JSON, or has no id, is left out; ``rejected_json`` lists it.
     """
     parsed = rows.withColumn(payload, F.try_parse_json(text))
-    return parsed.withColumn(ID, F.try_variant_get(payload, f"$['{id_field}']", id_type)).drop(text)
+    known = parsed.withColumn(ID, F.try_variant_get(payload, f"$['{id_field}']", id_type))
+    return known.where(F.col(ID).isNotNull()).drop(text)
+
+
+def rejected_json(rows: DataFrame, text: str, id_type: str = "string", id_field: str = "_id") -> DataFrame:
+    """The rows that ``from_json_text`` leaves out, with ``reject_reason``."""
+    parsed = F.try_parse_json(text)
+    reason = (
+        F.when(F.col(text).isNull() | (F.trim(text) == ""), "empty value")
+        .when(parsed.isNull(), "not json")
+        .when(F.try_variant_get(parsed, f"$['{id_field}']", id_type).isNull(), "no id"))
+    return rows.withColumn("reject_reason", reason).where("reject_reason is not null")
 
 
 def promote(rows: DataFrame, fields: Mapping[str, str], payload: str = "doc") -> DataFrame:

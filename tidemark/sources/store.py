@@ -20,8 +20,9 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.columns import ID, LOG_COLUMNS, TX, VALID_TO
+from tidemark.columns import ID, LOG_COLUMNS, TX, VALID_TO, instant_literal
 from tidemark.functions.names import table_identifier
 from tidemark.operators.travel import VersionedTable
 from tidemark.plans import visibility
@@ -83,7 +84,7 @@ class LogStore:
         """Make a transaction visible.  Repeating it changes nothing."""
         row = self.spark.range(1).select(
             F.lit(tx).cast("bigint").alias(TX),
-            F.lit(system_time).cast("timestamp_ntz").alias("system_time"),
+            instant_literal(system_time, T.TimestampNTZType()).alias("system_time"),
             F.lit(True).alias("committed"))
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/txs/commit={tx}")
 
@@ -154,7 +155,8 @@ class LogStore:
             open_ended = not log.where(F.col(VALID_TO).isNotNull()).select(VALID_TO).take(1)
         return VersionedTable(
             log, open_ended=open_ended,
-            erasures=self.erasures(name, log.schema[ID].dataType), basis=basis)
+            erasures=self.erasures(name, log.schema[ID].dataType), basis=basis,
+            clock=self.txs())
 
     def list_tables(self) -> DataFrame:
         """Names of stored tables, from directory names alone."""

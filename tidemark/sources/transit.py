@@ -1,7 +1,7 @@
 """Transit-JSON lines: records whose maps, keywords and dates are tagged JSON.
 
 Loading turns each line into plain JSON, then VARIANT or typed columns; export
-builds the lines from the schema with JVM expressions only.
+builds the lines from the schema with JVM expressions, but for VARIANT values.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.columns import ID
+from tidemark.session import ship
 
 # Fixed markers of the format.
 MAP_MARK = "^ "
@@ -48,21 +49,51 @@ def _line_to_json(line: str | None) -> str | None:
         return None
 
 
+def _marked(node):
+    """An ordinary JSON value as transit: objects become marked arrays, marks in text are escaped."""
+    if isinstance(node, dict):
+        return [MAP_MARK, *(x for k, v in node.items() for x in (_marked(k), _marked(v)))]
+    if isinstance(node, list):
+        return [_marked(x) for x in node]
+    return "~" + node if isinstance(node, str) and node[:1] in ("~", "^") else node
+
+
+def _json_to_line(text: str | None) -> str | None:
+    return None if text is None else json.dumps(_marked(json.loads(text)), ensure_ascii=False, separators=(",", ":"))
+
+
+@F.pandas_udf(T.StringType())
+def from_json_text(texts: pd.Series) -> pd.Series:
+    """Values of no fixed type only show their fields row by row, hence in Python."""
+    return texts.map(_json_to_line)
+
+
 @F.pandas_udf(T.StringType())
 def to_json_text(lines: pd.Series) -> pd.Series:
     return lines.map(_line_to_json)
 
 
+def _plain_lines(spark: SparkSession, path: str) -> DataFrame:
+    ship(spark)
+    text = spark.read.text(path).where(F.length("value") > 0)
+    return text.select("value", to_json_text("value").alias("json"))
+
+
+def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that are not JSON, as ``value``."""
+    return _plain_lines(spark, path).where("json is null").select("value")
+
+
 def read_lines(
     spark: SparkSession, path: str, schema: str | None = None, id_key: str = "_id"
 ) -> DataFrame:
     """Load transit-JSON lines.
 
     With a ``schema`` (names as in the file) columns are typed; without one each
-    record is ``_id`` plus a VARIANT ``doc``.
+    record is ``_id`` plus a VARIANT ``doc``.  Lines that cannot be read are left out;
+    ``rejected_lines`` lists them.
     """
-    text = spark.read.text(path).where(F.length("value") > 0)
-    plain = text.select(to_json_text("value").alias("json"))
+    plain = _plain_lines(spark, path).where("json is not null").select("json")
     if schema is None:
         doc = F.try_parse_json("json")
         return plain.select(
@@ -71,13 +102,29 @@ def read_lines(
     return typed.withColumnRenamed(id_key, ID)
 
 
+def _holds_variant(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_variant(f.dataType) for f in kind)
+    inner = [getattr(kind, n) for n in ("elementType", "keyType", "valueType") if hasattr(kind, n)]
+    return isinstance(kind, T.VariantType) or any(map(_holds_variant, inner))
+
+
 def _encode(value: Column, kind: T.DataType) -> Column:
     """The transit text of one value, by its Spark type."""
-    if isinstance(kind, T.StructType):
+    if isinstance(kind, (T.ArrayType, T.MapType)) and _holds_variant(kind):
+        # Python functions cannot run inside the expression over elements.
+        text = from_json_text(F.to_json(value))
+    elif isinstance(kind, T.StructType):
         text = _encode_map([(f.name, value.getField(f.name), f.dataType) for f in kind])
     elif isinstance(kind, T.ArrayType):
         items = F.transform(value, lambda x: _encode(x, kind.elementType))
         text = F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
+    elif isinstance(kind, T.MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.concat(
+            _encode(e["key"].cast("string"), T.StringType()), F.lit(","), _encode(e["value"], kind.valueType)))
+        text = F.concat(F.lit('["^ "'), F.when(F.size(entries) > 0, F.concat(F.lit(","), F.array_join(entries, ","))).otherwise(""), F.lit("]"))
+    elif isinstance(kind, T.VariantType):
+        text = from_json_text(F.to_json(value))
     elif isinstance(kind, T.TimestampType):
         text = F.date_format(value, "'\"~t'yyyy-MM-dd'T'HH:mm:ss.SSSXXX'\"'")
     elif isinstance(kind, T.TimestampNTZType):
@@ -102,5 +149,6 @@ def _encode_map(fields) -> Column:
 
 def to_lines(rows: DataFrame) -> DataFrame:
     """One transit-JSON line per row, in a column ``value`` ready for ``write.text``."""
+    ship(rows.sparkSession)
     return rows.select(
         _encode_map([(f.name, F.col(f"`{f.name}`"), f.dataType) for f in rows.schema]).alias("value"))

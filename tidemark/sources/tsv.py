@@ -24,15 +24,18 @@ def split_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(records as text columns, rejected lines with the number of values found).
 
     Lines are split in the JVM, trailing empty values included, and a line whose
-    value count differs from the header's is rejected.
+    value count differs from the header's is rejected.  The header is the line at the
+    file's start, whatever other lines say.
     """
-    lines = spark.read.text(path)
-    header = lines.first()
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"))
+    header = lines.where("_start = 0").first()
     if header is None:
         raise ValueError(f"{path} is empty")
     names = header.value.split("\t")
     values = F.split("value", "\t", -1)
-    rows = lines.where(F.col("value") != header.value).withColumn("_values", values)
+    rows = lines.where(F.col("_row") != header["_row"]).withColumn("_values", values)
     matches = F.size("_values") == len(names)
     good = rows.where(matches).select(
         *[F.get("_values", F.lit(i)).alias(n) for i, n in enumerate(names)])

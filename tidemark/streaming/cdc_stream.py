@@ -22,7 +22,7 @@ from tidemark.sources.store import LogStore
 
 def from_files(spark: SparkSession, directory: str) -> DataFrame:
     """JSON-lines files appearing in a directory, one event per line."""
-    return spark.readStream.format("text").load(directory).withColumnRenamed("value", "event")
+    return cdc.placed_lines(spark.readStream.format("text").load(directory))
 
 
 def from_kafka(spark: SparkSession, servers: str, topics: str, **options: str) -> DataFrame:
@@ -36,10 +36,15 @@ def from_kafka(spark: SparkSession, servers: str, topics: str, **options: str) -
         F.col("timestamp").alias("received"))
 
 
-def without_redelivered(events: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
-    """Drop events delivered again within ``delay``.  Late events are kept: their own
-    time becomes valid time, so nothing is dropped for being late."""
-    return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+def without_redelivered(events: DataFrame, keys: list[str], delay: str) -> DataFrame:
+    """Drop events delivered again within ``delay`` of their first arrival.
+
+    ``keys`` identify an event.  The time that counts is that of arrival, so an event is
+    never too late, whatever its own time says.  State holds the keys of the events that
+    arrived within ``delay``.
+    """
+    received = events.withColumn("_received_at", F.current_timestamp()).withWatermark("_received_at", delay)
+    return received.dropDuplicatesWithinWatermark(keys).drop("_received_at")
 
 
 def apply(
@@ -61,8 +66,10 @@ def apply(
         tx = first_tx + number
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         position = "offset" if "offset" in batch.columns else "_position"
+        if set(cdc.PLACE) <= set(batch.columns):
+            batch = cdc.in_order(batch)
         if position not in batch.columns:
-            batch = batch.withColumn(position, F.monotonically_increasing_id())
+            raise ValueError("events need a position: a column offset or _position, or files")
         found = cdc.normalise(batch, now, position=position, id_field=id_field)
         store.write_routed(tx, cdc.to_log(found, tx, now, id_field))
         cdc.rejected(found).select(
