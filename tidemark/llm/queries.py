@@ -23,6 +23,42 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+#: Every window of 35 words with its text; a word is removed when one that covers it occurs twice.
+OP2_SQL = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+  spot AS (SELECT r, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+  win AS (SELECT r, i, md5(array_to_string(d.w[i:i + 34], ' ')) AS h FROM spot JOIN d USING (r)),
+  again AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+  gone AS (SELECT DISTINCT r, i + k AS i FROM win SEMI JOIN again USING (h), range(0, 35) AS t(k)),
+  word AS (SELECT r, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM d),
+  kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (r, i) GROUP BY r)
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)"""
+
+_STOP = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
+
+#: Measures by lists and windows of three words, then the thresholds of both rule tables.
+OP7_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+  p AS (SELECT *, regexp_extract_all(t, {_WORD}) AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {_WORD})) AS l FROM d),
+  spot AS (SELECT r, unnest(range(1, len(w) - 1)) AS i FROM p WHERE len(w) >= 3),
+  win AS (SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(p.w[i:i + 2], ' ')) AS n FROM spot JOIN p USING (r)),
+  rep AS (SELECT r, count(DISTINCT i + k) AS n FROM win, range(0, 3) AS t(k) WHERE n > 1 GROUP BY r),
+  m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+    len(l) AS n_lines, len(list_filter(w, lambda x: ends_with(x, '!!'))) AS n_shout,
+    len(list_filter(w, lambda x: lower(regexp_replace(x, '[.,;:!?]+$', '')) IN ({_STOP}))) AS n_stop,
+    len(list_filter(l, lambda x: regexp_matches(x, '^[ 	-]*[-*•‣▪●]'))) AS n_bullets,
+    len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[ 	-]*$'))) AS n_ellipses
+    FROM p LEFT JOIN rep USING (r)),
+  b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND word_chars BETWEEN 1.5 * n_words AND 20 * n_words AND n_symbols <= 0.3 * n_words
+    AND n_shout <= 0.5 * n_words AND n_stop >= 0.01 * n_words AND n_dup_lines <= 0.5 * n_lines
+    AND n_bullets <= 0.9 * n_lines AND n_ellipses <= 0.5 * n_lines AS kept FROM b"""
+
+
 @query("op1_cost_packing")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of 4,096 ids; each document is closed by id 2."""
@@ -50,13 +86,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.coded(documents(spark, sf_dir), bpe.Coding(public_tokenizers.path("word_bpe_49k.json"))).drop("ids", "decoded")
 
 
-@query("op7_quality_rules")
+@query("op7_quality_rules", OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-@query("op2_substring_dedup")
+@query("op2_substring_dedup", OP2_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 35 words."""
     return substring_dedup.without_repeats(documents(spark, sf_dir), length=35).select(
