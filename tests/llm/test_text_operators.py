@@ -115,6 +115,39 @@ def test_random_tokens_are_found_and_spelled_ones_are_not(make):
     assert clean[100] == rows[30][1] and sum(clean[k] == "see [SECRET] here" for k in range(30)) >= 25
 
 
+def identifier(rng, alphabet, length):
+    """Words of the alphabet with a number behind, as names of things have."""
+    words = ("face decade facade bead cafe added feed dead fade beef deed" if len(alphabet) == 16 else
+             "server account windows update report monitor session storage backup cluster network customer invoice catalog").split()
+    words = [w if "a" in alphabet else w.upper() for w in words]
+    digits = [c for c in alphabet if c.isdigit()]
+    out = "".join(rng.choice(words, 8))[:length - 3] + "".join(rng.choice(digits, 3))
+    return out[:5] + alphabet[-1] + out[6:] if alphabet[-1] in "/_" else out
+
+
+@pytest.mark.parametrize("length", [16, 20, 23, 24, 32, 48])
+def test_random_tokens_of_each_encoding_are_found(make, length):
+    """One candidate of five is random: most of these are found, and hardly any identifier."""
+    rng = np.random.default_rng(length)
+    rows, encodings = [], [e for e in secrets.ENCODINGS if e != "hex"]  # a base kind
+    for e, name in enumerate(encodings):
+        alphabet = secrets.ENCODINGS[name][1]
+        for k in range(300):
+            token = "".join(rng.choice(list(alphabet), length)) if k % 5 == 0 else identifier(rng, alphabet, length)
+            rows.append((e * 1000 + k, f"see {token} here"))
+    got = {r["doc_id"]: r["n_random"] for r in secrets.scan(make(rows)).collect()}
+    for e, name in enumerate(encodings):
+        found = sum(got[e * 1000 + k] for k in range(0, 300, 5))
+        wrong = sum(got[e * 1000 + k] for k in range(300) if k % 5)
+        assert found >= (30 if length < 20 else 42) and wrong <= 2, (name, length, found, wrong)
+
+
+def test_identifier_law_sums_to_one():
+    for _, alphabet in secrets.ENCODINGS.values():
+        ratios = np.exp(secrets._ratios(alphabet)).reshape(-1, len(alphabet))
+        assert np.allclose(ratios.mean(1), 1)
+
+
 def test_masking_overlapping_spans(make):
     text = "a token=\"0123456789abcdef0\" b 0123456789abcdef c"
     out = secrets.masked(make([(1, text), (2, None), (3, "")])).collect()

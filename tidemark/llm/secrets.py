@@ -4,11 +4,13 @@ Everything is built-in column expressions: no user function, no shuffle of texts
 looks at tokens that mix letters and digits. From its characters it infers the encoding of a token, and with
 it the alphabet that a random token would be drawn from. Three tests ask whether it could be random:
 chi-squared uniformity over the alphabet, the number of runs above and below the middle of the alphabet,
-and the correlation of neighbours. Their p-values are combined; a token that fails is no secret.
-The same chi-squared sum, read as an index of coincidence, gives the p-value of the hypothesis that the
-token is spelled like language, which grows sharper with length. Within a class of lengths the
-Benjamini-Hochberg step over all candidates of the corpus decides which of these are discoveries, so short
-tokens must earn their place among short ones. The step needs only a histogram of p-values, whose size is fixed.
+and the correlation of neighbours. Their p-values are combined, and a first Benjamini-Hochberg step over these
+tells which candidates are not random and so no secrets. The other p-value is of the hypothesis that a token is an
+identifier: its characters follow a chain of letter case, vowels, digits and signs, held to the alphabet of
+the encoding. If that chain gives a token the probability Q and the uniform law U, U / Q has
+mean 1 under the chain, so Q / U is a p-value for any length and alphabet. A second step over the candidates left
+decides which are discoveries. Both steps go by encoding and class of lengths, so short tokens must earn their place
+among short ones, and need only a histogram of both p-values, whose size is fixed.
 """
 
 from __future__ import annotations
@@ -16,7 +18,10 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
+from itertools import accumulate
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import let, texts
@@ -44,13 +49,20 @@ ENCODINGS = {
     "base64url": ("^[A-Za-z0-9_-]+=*$", _UPPER + _LOWER + _DIGITS + "-_"),
 }
 
-#: Probability that two letters of a language text are equal, and that three are.
-COINCIDENCE, TRIPLE = 0.0667, 0.0055
+#: All signs at once, for tokens of no single encoding.
+MIXED = ENCODINGS["base64"][1] + "-_"
+
+#: Shares of what follows a small letter, a great one, a digit or a sign in identifiers, and of what starts them.
+FOLLOWS = {"a": (0.80, 0.06, 0.06, 0.08), "A": (0.28, 0.60, 0.05, 0.07), "0": (0.09, 0.09, 0.70, 0.12), "-": (0.45, 0.20, 0.30, 0.05),
+           "": (0.50, 0.30, 0.15, 0.05)}
+#: Letters of European languages, per mille, and the share of consonants after a vowel and after a consonant.
+LETTERS = dict(zip(_LOWER, (82, 15, 28, 43, 127, 22, 20, 61, 70, 3, 8, 40, 24, 67, 75, 19, 2, 60, 63, 91, 28, 10, 24, 3, 20, 2)))
+CONSONANT = {True: 0.85, False: 0.50}
 
 
 @dataclass(frozen=True)
 class Battery:
-    """``random`` is the level of the combined randomness test, ``rate`` the share of false discoveries."""
+    """``random`` is the rate of false rejections by the combined randomness test, ``rate`` the share of false discoveries."""
 
     random: float = 0.001
     rate: float = 0.01
@@ -85,9 +97,48 @@ def matches(text: Column, pattern: str, hint: str, group: int = 0, least: int =
     return F.coalesce(F.aggregate(pieces, start, add, lambda acc: acc["found"]), F.array().cast("array<struct<start:long,end:long,value:string>>"))
 
 
+def _ratios(alphabet: str) -> list[float]:
+    """Log of identifier over uniform probability: of each first character, then of each pair, the latter given the former."""
+
+    def kind(c: str) -> str:
+        return "a" if c in _LOWER else "A" if c in _UPPER else "0" if c in _DIGITS else "-"
+
+    def law(last: str) -> list[float]:
+        weights = []
+        for c in alphabet:
+            k = kind(c)
+            weight = FOLLOWS[kind(last) if last else ""]["aA0-".index(k)]
+            alike = [x for x in alphabet if kind(x) == k]
+            if k in "aA":
+                vowel = c.lower() in "aeiou"
+                if last and kind(last) in "aA":
+                    share = CONSONANT[last.lower() in "aeiou"]
+                    weight *= 1 - share if vowel else share
+                    alike = [x for x in alike if (x.lower() in "aeiou") == vowel]
+                weight *= LETTERS[c.lower()] / sum(LETTERS[x.lower()] for x in alike)
+            else:
+                weight /= len(alike)
+            weights.append(weight)
+        return [math.log(len(alphabet) * w / sum(weights)) for w in weights]
+
+    return [x for last in ("", *alphabet) for x in law(last)]
+
+
+@cache
+def _table() -> tuple[str, tuple[int, ...]]:
+    """The ratios of all alphabets, listed, and where each alphabet starts."""
+    parts = [_ratios(a) for a in (*[a for _, a in ENCODINGS.values()], MIXED)]
+    return " ".join(f"{x:.4f}" for p in parts for x in p), tuple(accumulate((len(p) for p in parts[:-1]), initial=0))
+
+
 def tested(value: Column) -> Column:
-    """Struct (n, random, language): length, combined p-value of the randomness tests, p-value of language."""
-    alphabet = F.coalesce(*[F.when(value.rlike(p), F.lit(a)) for p, a in ENCODINGS.values()], F.lit(ENCODINGS["base64"][1] + "-_"))
+    """Struct (n, code, random, language): length, place of the encoding, combined p-value of the randomness tests, p-value of identifiers."""
+    code = F.coalesce(*[F.when(value.rlike(p), F.lit(k)) for k, (p, _) in enumerate(ENCODINGS.values())], F.lit(len(ENCODINGS)))
+    alphabets = F.array(*[F.lit(a) for _, a in ENCODINGS.values()], F.lit(MIXED))
+    listed, starts = _table()
+    # One literal, folded into an array when the plan is made.
+    ratios = F.split(F.lit(listed), " ").cast("array<double>")
+    begins = F.array(*[F.lit(s) for s in starts])
     bare = F.regexp_replace(value, "=+$", "")
     n = F.length(bare).cast("double")
 
@@ -97,14 +148,21 @@ def tested(value: Column) -> Column:
         count = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda a, c: a + F.pow(
             F.length(x["bare"]) - F.length(F.replace(x["bare"], c, F.lit(""))), F.lit(2.0)))
         return F.struct(
-            x["n"].alias("n"), size.alias("size"), count.alias("squares"),
+            x["n"].alias("n"), x["code"].alias("code"), size.alias("size"), count.alias("squares"),
             F.transform(chars, lambda c: (F.instr(x["alphabet"], c) - 1).cast("double")).alias("v"))
 
+    def _identifier(x: Column) -> Column:
+        begin = begins[x["code"]]
+        steps = F.zip_with(F.slice(x["v"], 2, F.size(x["v"])), F.slice(x["v"], 1, F.size(x["v"]) - 1),
+                           lambda b, a: ratios[(begin + (a + 1) * x["size"] + b).cast("int")])
+        return F.aggregate(steps, ratios[(begin + x["v"][0]).cast("int")], lambda a, r: a + r)
+
     def moments(x: Column) -> Column:
         mean = F.aggregate(x["v"], F.lit(0.0), lambda a, v: a + v) / x["n"]
         high = F.transform(x["v"], lambda v: v * 2 >= x["size"])
         return F.struct(
-            x["n"].alias("n"), x["size"].alias("size"), x["squares"].alias("squares"),
+            x["n"].alias("n"), x["code"].alias("code"), x["size"].alias("size"), x["squares"].alias("squares"),
+            _identifier(x).alias("identifier"),
             F.aggregate(F.filter(high, lambda h: h), F.lit(0.0), lambda a, h: a + 1).alias("n1"),
             (F.lit(1.0) + F.aggregate(F.zip_with(F.slice(high, 2, F.size(high)), F.slice(high, 1, F.size(high) - 1), lambda a, b: a != b),
                                       F.lit(0.0), lambda a, d: a + d.cast("double"))).alias("runs"),
@@ -126,14 +184,13 @@ def tested(value: Column) -> Column:
         # Cauchy combination: valid however the tests depend on each other.
         pi = F.lit(math.pi)
         bent = sum((F.tan((F.lit(0.5) - F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-6))) * pi) for p in parts), F.lit(0.0)) / len(parts)
-        same = (x["squares"] - count) / (count * (count - 1))
-        spread = F.sqrt(4 * (TRIPLE - COINCIDENCE ** 2) / count + 2 * COINCIDENCE * (1 - COINCIDENCE) / (count * (count - 1)))
         return F.struct(
-            count.cast("int").alias("n"), (F.lit(0.5) - F.atan(bent) / pi).alias("random"),
-            F.greatest(_upper_tail((F.lit(COINCIDENCE) - same) / spread), F.lit(1e-30)).alias("language"))
+            count.cast("int").alias("n"), x["code"].alias("code"), (F.lit(0.5) - F.atan(bent) / pi).alias("random"),
+            F.exp(F.least(F.greatest(x["identifier"], F.lit(-100.0)), F.lit(0.0))).alias("language"))
 
-    start = F.struct(alphabet.alias("alphabet"), bare.alias("bare"), n.alias("n"))
-    return let(start, lambda a: let(stats(a), lambda b: let(moments(b), p_values)))
+    start = F.struct(code.alias("code"), bare.alias("bare"), n.alias("n"))
+    whole = let(start, lambda x: F.struct(x["code"].alias("code"), alphabets[x["code"]].alias("alphabet"), x["bare"].alias("bare"), x["n"].alias("n")))
+    return let(whole, lambda a: let(stats(a), lambda b: let(moments(b), p_values)))
 
 
 def _of_kind(k: int) -> Callable[[Column], Column]:
@@ -153,25 +210,42 @@ def _scanned(rows: DataFrame, key: str, battery: Battery) -> DataFrame:
         t["start"].alias("start"), t["end"].alias("end"), tested(t["value"]).alias("p"))).alias("tested"))
 
 
-def _stratum(n: Column, battery: Battery) -> Column:
-    return sum(((n >= edge).cast("int") for edge in battery.lengths), F.lit(0))
+def _stratum(p: Column, battery: Battery) -> Column:
+    return p["code"] * (len(battery.lengths) + 1) + sum(((p["n"] >= edge).cast("int") for edge in battery.lengths), F.lit(0))
+
+
+def _stepped(counts: np.ndarray, rate: float, per: int) -> int:
+    """The bin of the largest p-values that the Benjamini-Hochberg step rejects; past the last if none. Bin k starts at 10 ** (-k / per)."""
+    found = counts[::-1].cumsum()[::-1]
+    passed = np.flatnonzero((found > 0) & (10.0 ** (-np.arange(len(counts)) / per) <= rate * found / max(1, found[0])))
+    return int(passed[0]) if len(passed) else len(counts)
 
 
-def thresholds(rows: DataFrame, battery: Battery) -> dict[int, float]:
-    """The largest p-value that counts as a discovery, for each class of lengths.
+def thresholds(rows: DataFrame, battery: Battery) -> dict[int, tuple[float, float]]:
+    """Of each encoding and class of lengths: the randomness p-value from which a token may be random, and the largest that discovers it.
 
-    From a histogram of at most (classes x bins) cells. A bin's larger end stands for its p-values,
-    which keeps the rate below what was asked for.
+    From a histogram of at most (strata x bins of both) cells. A bin's larger end stands for its p-values,
+    which keeps the rates below what was asked for.
     """
-    p = _scanned(rows, "doc_id", battery).select(F.explode_outer("tested.p").alias("p")).where(F.col("p.random") >= battery.random)
-    edge = F.least(F.floor(-F.log10("p.language") * battery.steps), F.lit(battery.steps * battery.powers)).alias("edge")
-    bins = p.select(_stratum(F.col("p.n"), battery).alias("stratum"), edge).groupBy("stratum", "edge").count()
-    each = Window.partitionBy("stratum")
-    ranked = bins.select(
-        "stratum", "edge", F.sum("count").over(each.orderBy(F.col("edge").desc())).alias("found"), F.sum("count").over(each).alias("all"))
-    top = F.pow(F.lit(10.0), -F.col("edge") / battery.steps)
-    return {r["stratum"]: r["limit"] for r in
-            ranked.where(top <= battery.rate * F.col("found") / F.col("all")).groupBy("stratum").agg(F.max(top).alias("limit")).collect()}
+    p = _scanned(rows, "doc_id", battery).select(F.explode("tested.p").alias("p"))
+
+    def binned(value: Column, least: float) -> Column:
+        return F.least(F.floor(-F.log10(F.greatest(value, F.lit(least))) * battery.steps), F.lit(battery.steps * battery.powers)).cast("int")
+
+    # A rejection lies below the rate asked for, so larger randomness p-values share a bin.
+    low = F.when(F.col("p.random") >= battery.random, 0).otherwise(binned(F.col("p.random"), 1e-30))
+    bins = p.select(_stratum(F.col("p"), battery).alias("stratum"), low.alias("low"), binned(F.col("p.language"), 1e-30).alias("edge")) \
+        .groupBy("stratum", "low", "edge").count().toArrow()
+    stratum, low, edge, count = (bins.column(c).to_numpy() for c in ("stratum", "low", "edge", "count"))
+    size, out = battery.steps * battery.powers + 1, {}
+    for s in np.unique(stratum).tolist():
+        of = stratum == s
+        cut = _stepped(np.bincount(low[of], count[of], size), battery.random, battery.steps)
+        left = of & (low < cut)
+        at = _stepped(np.bincount(edge[left], count[left], size), battery.rate, battery.steps)
+        if at < size:
+            out[s] = (10.0 ** (-cut / battery.steps) if cut < size else 0.0, 10.0 ** (-at / battery.steps))
+    return out
 
 
 def _spans(rows: DataFrame, key: str, battery: Battery) -> DataFrame:
@@ -179,9 +253,9 @@ def _spans(rows: DataFrame, key: str, battery: Battery) -> DataFrame:
     limits = thresholds(rows, battery)
 
     def discovered(t: Column) -> Column:
-        stratum = _stratum(t["p"]["n"], battery)
-        allowed = F.coalesce(*[F.when(stratum == s, F.lit(v)) for s, v in limits.items()], F.lit(-1.0))
-        return (t["p"]["random"] >= battery.random) & (t["p"]["language"] <= allowed)
+        stratum = _stratum(t["p"], battery)
+        least, most = (F.coalesce(*[F.when(stratum == s, F.lit(v[k])) for s, v in limits.items()], F.lit(other)) for k, other in enumerate((2.0, -1.0)))
+        return (t["p"]["random"] > least) & (t["p"]["language"] <= most)
 
     extra = F.transform(F.filter("tested", discovered), _of_kind(len(KINDS)))
     return _scanned(rows, key, battery).select(key, "text", "base", F.sort_array(F.concat("base", extra)).alias("spans"))
