@@ -148,6 +148,21 @@ def test_identifier_law_sums_to_one():
         assert np.allclose(ratios.mean(1), 1)
 
 
+def test_random_values_after_an_equals_sign_are_found(make):
+    rng = np.random.default_rng(9)
+    letters = list(secrets.ENCODINGS["base62"][1])
+    forms = ["AUTH={}", "client_id={}", "https://host.example/get?sig={}&x=1", "--flag={}", "a_name_of_sixteen_or_more={}", "pad {}==", "'k'=='{}'", "x=={}"]
+    rows, tokens = [], {}
+    for k in range(10 * len(forms)):
+        tokens[k] = "".join(rng.choice(letters, 32))
+        rows.append((k, "see " + forms[k % len(forms)].format(tokens[k]) + " here"))
+    clean = {r["doc_id"]: r["text"] for r in secrets.masked(make(rows)).collect()}
+    for f, form in enumerate(forms):
+        of = [k for k in tokens if k % len(forms) == f]
+        masked = form.replace("{}==", "[SECRET]").replace("{}", "[SECRET]")
+        assert sum(clean[k] == f"see {masked} here" for k in of) >= 9, form
+
+
 def test_masking_overlapping_spans(make):
     text = "a token=\"0123456789abcdef0\" b 0123456789abcdef c"
     out = secrets.masked(make([(1, text), (2, None), (3, "")])).collect()

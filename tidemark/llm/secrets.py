@@ -33,8 +33,9 @@ KINDS = {
     "access": ("AKIA", "AKIA[A-Z0-9]+", 0, 18),
     "hex": ("[0-9a-f]{16}", "[0-9a-f]+", 0, 16),
 }
-#: Letters and digits with the signs of the usual encodings; only such tokens are tested.
-TOKEN = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])"
+#: Letters and digits with the signs of the usual encodings; only such tokens are tested. What follows an equals sign is a
+#: token of its own, and up to two of these are padding only where nothing follows them.
+TOKEN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
 
 #: Encoding -> (pattern of the whole token, alphabet in order).
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
