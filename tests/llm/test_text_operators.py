@@ -215,6 +215,32 @@ def test_terms_that_give_an_entity_away(make):
     assert pii.sanitised(text, [tuple(s) for s in got[0]["found"]]).startswith("please write to  [EMAIL] about orders")
 
 
+def test_disclosing_terms_go_wherever_they_stand(make):
+    """Far from the entity, in documents without it, and next to it without a space."""
+    far = " some words that are of no use" * 10
+    rows = [(k, f"please write to Zaphodine beeble@example.com about orders{far} zaphodine, again") for k in range(6)]
+    rows += [(50, "only Zaphodine here"), (51, "Zaphodine<beeble@example.com>"), (52, "nothing of them")]
+    rows += [(100 + k, f"please write about orders to someone{far} else {k}") for k in range(200)]
+    got = {r["doc_id"]: r for r in pii.scan(make(rows)).collect()}
+
+    def touched(d):
+        text = dict(rows)[d]
+        return [text[s["start"]:s["end"]] for s in got[d]["found"]]
+
+    assert [touched(k) for k in range(6)] == [["beeble@example.com", "Zaphodine", "zaphodine"]] * 6
+    assert (touched(50), touched(51), touched(52)) == (["Zaphodine"], ["beeble@example.com", "Zaphodine"], [])
+    assert all(got[100 + k]["spans"] == "" for k in range(200))
+
+
+def test_general_terms_stay_in_documents_without_the_entity(make):
+    rows = [(k, "ask Quillon q@example.com now" + " and then" * 9 + " quillon") for k in range(8)] + [(50, "Quillon alone"), (51, "so Quillon too")]
+    rows += [(100 + k, f"other things {k}") for k in range(190)]
+    policy = pii.Policy(general=0.8, remove=0.99)
+    got = {r["doc_id"]: [s["kind"] for s in r["found"]] for r in pii.scan(make(rows), policy).collect()}
+    general = pii.KINDS.index("general")
+    assert all(got[k].count(general) == 2 for k in range(8)) and got[50] == got[51] == []
+
+
 def quality(text):
     w = WORDS.findall(text)
     windows = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
