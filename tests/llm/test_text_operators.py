@@ -241,6 +241,25 @@ def test_general_terms_stay_in_documents_without_the_entity(make):
     assert all(got[k].count(general) == 2 for k in range(8)) and got[50] == got[51] == []
 
 
+def test_names_of_all_forms_are_terms(make):
+    """Short names, with signs, digits or marks inside: each is met beside its own address only."""
+    names = ["O'Brien", "Jean-Luc", "Mueller-Schmidt", "Smith's", "Ann", "Lee", "Bob", "user_77", "x9", "Zoë", "Rene\u0301", "O\u2019Neill", "Li"]
+    bare = ["Smith" if n == "Smith's" else n for n in names]
+    rows = [(10 * i + k, f"mail \u201c{n}\u201d, n{i}@example.com about it") for i, n in enumerate(names) for k in range(4)]
+    rows += [(1000, "Zoe\u0308 wrote"), (1001, "(smith) wrote"), (1002, "O'Neill wrote"), (1003, "it is about mail")]
+    rows += [(2000 + k, f"other mail about it {k}") for k in range(1500)]
+    got = {r["doc_id"]: r["found"] for r in pii.scan(make(rows)).collect()}
+    texts = dict(rows)
+
+    def touched(d):
+        return [texts[d][s["start"]:s["end"]] for s in got[d]]
+
+    for i, n in enumerate(bare):
+        assert all(touched(10 * i + k) == [f"n{i}@example.com", n] for k in range(4)), n
+    assert [touched(d) for d in range(1000, 1004)] == [["Zoe\u0308"], ["smith"], ["O'Neill"], []]
+    assert all(not got[2000 + k] for k in range(1500))
+
+
 def quality(text):
     w = WORDS.findall(text)
     windows = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]

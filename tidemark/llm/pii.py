@@ -12,6 +12,7 @@ is removed, from every document of the corpus.
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -36,7 +37,6 @@ _IP = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"\S+")  # as str.split()
-_EDGES = ".,;:!?()[]{}\"'#$%&*|<>"
 _NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -87,16 +87,29 @@ def entities(text: str) -> list[tuple[int, int, int]]:
 
 
 def term_of(word: str) -> str:
-    """A word's form for counting, or nothing if it is too short to tell."""
-    a, b = _bare(word)
-    bare = word[a:b].lower()
-    return bare if len(bare) >= 4 and bare.isalpha() else ""
+    """A word's form for counting: composed small letters without the signs around it, or nothing if it is all signs."""
+    if not word.isalnum():
+        a, b = _bare(word)
+        word = word[a:b].replace("\u2019", "'")
+    return word.lower() if word.isascii() else unicodedata.normalize("NFC", unicodedata.normalize("NFC", word).lower())
 
 
 def _bare(word: str) -> tuple[int, int]:
-    """Start and end of a word without the signs around it."""
-    start = len(word) - len(word.lstrip(_EDGES))
-    return start, max(start, len(word.rstrip(_EDGES)))
+    """Start and end of a word from its first to its last letter, digit or mark, without 's; signs inside it stay."""
+    start, end = 0, len(word)
+    while start < end and not _spells(word[start]):
+        start += 1
+    while start < end and not _spells(word[end - 1]):
+        end -= 1
+    if end - start > 2 and word[end - 2] in "'\u2019" and word[end - 1] in "sS":
+        end -= 2
+        while start < end and not _spells(word[end - 1]):
+            end -= 1
+    return start, end
+
+
+def _spells(c: str) -> bool:
+    return c.isalnum() or unicodedata.category(c)[0] == "M"
 
 
 def _term_hash(term: str) -> int:
