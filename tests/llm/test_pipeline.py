@@ -3,6 +3,7 @@
 import importlib
 import sys
 
+import numpy as np
 import pytest
 from llm_rows import ODD
 from pyspark.sql import functions as F
@@ -29,6 +30,26 @@ def test_classifier_without_labels_and_rows(spark, make):
     assert cotrain.score(make(ODD).limit(0), labels).count() == 0
 
 
+def test_all_unlabelled_documents_are_scored_for_training(spark, make):
+    """More documents than any sample: the pool has each id once, and its sums are those of all rows."""
+    rows = [(k, f"Some text {k % 50}. It has words.") for k in range(7000)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)] + [(1, 1, 0)], "doc_id long, quality int, toxic int")
+    views, y, pool = cotrain._sample(cotrain.texts(make(rows), "lang", "source", "n_chars"), labels, cotrain.Plan())
+    assert len(y) == len(views[0]) == len(views[1]) == 40
+    assert pool.count() == pool.select("doc_id").distinct().count() == 7000 - 40
+    w = np.linspace(-1, 1, views[1].shape[1] + 1)
+    got = cotrain._total(pool, lambda v: cotrain.sums(v[1], np.ones(len(v[1])), w), 1 + len(w) + len(w) ** 2)
+    x = np.array([cotrain.page(t, "en", "s", len(t)) for k, t in rows[40:7000]], "f4").astype(float)
+    assert got[0] == 7000 - 40 and np.allclose(got, cotrain.sums(x, np.ones(len(x)), w))
+
+
+def test_tails_cut_the_share_asked_for():
+    odds = np.random.default_rng(3).normal(0, 8, 100_000).clip(-30, 30)
+    low, high = cotrain._tails(np.bincount(cotrain._places(odds), minlength=6001), 5000, 0.95)
+    assert abs((odds <= low).sum() - 5000) < 50 and abs((odds >= high).sum() - 5000) < 50
+    assert cotrain._tails(np.bincount(cotrain._places(odds / 100), minlength=6001), 5000, 0.95) == pytest.approx((-np.log(19), np.log(19)))
+
+
 def test_stages(spark, make, tmp_path):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "simhash_near_dedup", "suffix_array_dedup", "secret_scans", "cost_packing"]

@@ -2,18 +2,20 @@
 
 One view is the text's content: the shapes of its words, how often they repeat, its function words. The other
 is the metadata of the page: language, source, length and line layout. Each has a logistic regression. In
-rounds, each classifier labels the documents of an unlabelled pool that it is most sure of, and these join
+rounds, each classifier labels those of all unlabelled documents that it is most sure of, and these join
 the other's training rows. At the end each view is calibrated on labelled rows that it was not trained on, and the
 calibrated log-odds of the views, added and calibrated once more, score all documents.
 
-Fitting uses bounded samples (``Plan.labelled``, ``Plan.pool``), chosen by a hash of the id, so it is the same size
-for any corpus; every document is scored, in one pass without a shuffle.
+Labelled rows are a bounded sample, chosen by a hash of the id. The features of the other documents are
+kept in the shared folder. Each round takes their scores' histogram, whose tails give the thresholds, and
+fits by gradients and Hessians summed over partitions, so every confident document counts and the driver holds
+only sums. Every document is scored at the end, in one pass without a shuffle.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import texts
+from tidemark.llm.common import settled, texts
 from tidemark.llm.quality_rules import STOP_WORDS
 
 SHAPES, SOURCES, LANGS = 192, 16, 8
@@ -31,10 +33,9 @@ _RUNS = re.compile(rb"([a-z\x80-\xff]+)|([A-Z]+)|([0-9]+)|([^a-zA-Z0-9\x80-\xff]
 
 @dataclass(frozen=True)
 class Plan:
-    """``labelled`` and ``pool`` rows at most; per round ``share`` of the pool is taken from either end."""
+    """``labelled`` rows at most; per round ``share`` of the unlabelled documents is taken from either end, if ``sure``."""
 
     labelled: int = 3000
-    pool: int = 3000
     rounds: int = 4
     share: float = 0.05
     sure: float = 0.95
@@ -100,7 +101,92 @@ def logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.clip(x @ w[:-1] + w[-1], -30, 30)
 
 
-def cotrained(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], plan: Plan) -> tuple[list[np.ndarray], np.ndarray]:
+@dataclass(frozen=True)
+class Round:
+    """Of each view, its weights, and the log-odds up to which and from which it labels documents for the other."""
+
+    weights: tuple[np.ndarray, ...]
+    low: tuple[float, ...]
+    high: tuple[float, ...]
+
+
+def taken(views: list[np.ndarray], rounds: list[Round]) -> list[np.ndarray]:
+    """Labels that each view has got from the other so far; -1 where none. The first label stays."""
+    out = [np.full(len(views[0]), -1) for _ in views]
+    for r in rounds:
+        for teacher, pupil in ((0, 1), (1, 0)):
+            odds = logit(views[teacher], r.weights[teacher])
+            got = np.where(odds <= r.low[teacher], 0, np.where(odds >= r.high[teacher], 1, -1))
+            out[pupil] = np.where(out[pupil] < 0, got, out[pupil])
+    return out
+
+
+def sums(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Number of rows, gradient and Hessian of the logistic loss, in one array."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    return np.concatenate([[len(x)], x.T @ (p - y), ((x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x).ravel()])
+
+
+_BINS = 6001  # of log-odds from -30 to 30
+
+
+def _places(odds: np.ndarray) -> np.ndarray:
+    return np.rint((odds + 30) * 100).astype(np.int64)
+
+
+def _total(pool: DataFrame, measure: Callable[[list[np.ndarray]], np.ndarray], size: int) -> np.ndarray:
+    """The sum of ``measure`` of the two views over all rows, first by partition, then by a few tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += measure([np.frombuffer(b"".join(batch.column(c).to_pylist()), "<f4").reshape(batch.num_rows, -1).astype(float) for c in "ab"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["total"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for part in batch.column("total"):
+                total += np.frombuffer(part.as_py())
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["total"])
+
+    parts = pool.select("a", "b").mapInArrow(run, "total binary").repartition(8).mapInArrow(add, "total binary").toArrow()
+    return sum((np.frombuffer(x.as_py()) for x in parts.column("total")), np.zeros(size))
+
+
+def _tails(counts: np.ndarray, take: int, sure: float) -> tuple[float, float]:
+    """The log-odds that cut ``take`` rows off either end, no further in than ``sure``; rows of a bin go together."""
+    edge = np.log(sure / (1 - sure))
+    low = min(int(np.searchsorted(counts.cumsum(), take)), _BINS - 1)
+    high = _BINS - 1 - min(int(np.searchsorted(counts[::-1].cumsum(), take)), _BINS - 1)
+    return min(-edge, (low + 0.5) / 100 - 30), max(edge, (high - 0.5) / 100 - 30)
+
+
+def _refit(rows: list[tuple[np.ndarray, np.ndarray]], weights: list[np.ndarray], pool: DataFrame, rounds: list[Round], plan: Plan) -> list[np.ndarray]:
+    """Newton steps of both views at once, over the labelled rows and all documents taken."""
+    weights, ends = list(weights), np.cumsum([1 + len(w) + len(w) ** 2 for w in weights])
+    for _ in range(12):
+        now = tuple(weights)
+
+        def measure(views: list[np.ndarray], now: tuple[np.ndarray, ...] = now) -> np.ndarray:
+            return np.concatenate([sums(v[t >= 0], t[t >= 0], w) for v, t, w in zip(views, taken(views, rounds), now)])
+
+        total, largest = np.split(_total(pool, measure, int(ends[-1])), ends[:-1]), 0.0
+        for k, (part, (x, y)) in enumerate(zip(total, rows)):
+            part, n = part + sums(x, y, weights[k]), len(weights[k])
+            penalty = np.full(n, plan.ridge * part[0] / 10)
+            penalty[-1] = 1e-6
+            step = np.linalg.solve(part[1 + n:].reshape(n, n) + np.diag(penalty), part[1:1 + n] + penalty * weights[k])
+            weights[k] = weights[k] - step
+            largest = max(largest, np.abs(step).max())
+        if largest < 1e-4:
+            break
+    return weights
+
+
+def cotrained(views: list[np.ndarray], y: np.ndarray, pool: DataFrame, plan: Plan) -> tuple[list[np.ndarray], np.ndarray]:
     """Weights of each view, and calibration: a slope for each view and a constant."""
     if len(np.unique(y)) < 2:  # nothing to tell apart: every document gets the share of good ones
         share = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
@@ -109,20 +195,19 @@ def cotrained(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], pl
     if len(np.unique(y[~held])) < 2 or len(np.unique(y[held])) < 2:
         held = np.zeros(len(y), bool)
     rows = [(v[~held], y[~held].astype(float)) for v in views]
-    taken = [np.zeros(len(pool[0]), bool) for _ in views]
     weights = [fit(x, t, plan.ridge) for x, t in rows]
-    take = max(1, int(plan.share * len(pool[0])))
-    for _ in range(plan.rounds if len(pool[0]) else 0):
-        for teacher, pupil in ((0, 1), (1, 0)):
-            p = 1 / (1 + np.exp(-logit(pool[teacher], weights[teacher])))
-            order = np.argsort(p, kind="stable")
-            order = order[~taken[pupil][order]]
-            low, high = order[:take], order[::-1][:take]
-            chosen = np.concatenate([low[p[low] <= 1 - plan.sure], high[p[high] >= plan.sure]])
-            taken[pupil][chosen] = True
-            x, t = rows[pupil]
-            rows[pupil] = (np.vstack([x, pool[pupil][chosen]]), np.concatenate([t, np.round(p[chosen])]))
-        weights = [fit(x, t, plan.ridge) for x, t in rows]
+    take = max(1, int(plan.share * size)) if (size := pool.count()) else 0
+    rounds: list[Round] = []
+    for _ in range(plan.rounds if size else 0):
+        now = tuple(weights)
+
+        def measure(features: list[np.ndarray], now: tuple[np.ndarray, ...] = now, before: tuple[Round, ...] = tuple(rounds)) -> np.ndarray:
+            free = taken(features, list(before))[::-1]  # of a teacher's pupil
+            return np.concatenate([np.bincount(_places(logit(v, w))[f < 0], minlength=_BINS) for v, w, f in zip(features, now, free)]).astype(float)
+
+        ends = [_tails(c, take, plan.sure) for c in np.split(_total(pool, measure, 2 * _BINS), 2)]
+        rounds.append(Round(now, *map(tuple, zip(*ends))))
+        weights = _refit(rows, weights, pool, rounds, plan)
     on = held if held.any() else ~held
     return weights, fit(np.stack([logit(v[on], w) for v, w in zip(views, weights)], axis=1), y[on].astype(float), 1e-3)
 
@@ -132,29 +217,27 @@ def _features(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.array([content(t) for t in values[0]]), np.array([page(*v) for v in zip(*values)])
 
 
-def _sample(docs: DataFrame, labels: DataFrame, plan: Plan) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
-    """Features and labels of bounded samples: labelled rows, and documents for the pool."""
-    order = F.xxhash64("doc_id", F.lit(1))
+def _sample(docs: DataFrame, labels: DataFrame, plan: Plan) -> tuple[list[np.ndarray], np.ndarray, DataFrame]:
+    """Features and labels of the sample of labelled rows, and the features of all other documents."""
     good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("y"))
-    some = good.orderBy(order).limit(plan.labelled)
-    other = docs.where("doc_id is not null").select("doc_id").join(some.select(F.col("doc_id").alias("l")), F.col("doc_id") == F.col("l"), "left_anti")
-    pool = other.select("doc_id", F.lit(None).cast("int").alias("y")).orderBy(F.xxhash64("doc_id", F.lit(2))).limit(plan.pool)
-    # At most ``labelled + pool`` ids, so they can be broadcast.
-    chosen = some.select("doc_id", F.col("y").cast("int").alias("y")).unionByName(pool).select(F.col("doc_id").alias("c"), "y")
-    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("c"))
+    # At most ``labelled`` ids, so they can be broadcast.
+    some = good.orderBy(F.xxhash64("doc_id", F.lit(1))).limit(plan.labelled).select(F.col("doc_id").alias("c"), F.col("y").cast("int").alias("y"))
+    rows = docs.where("doc_id is not null").join(F.broadcast(some), F.col("doc_id") == F.col("c"), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                a, b = _features(batch)
-                yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("y"), pa.array(a.tolist()), pa.array(b.tolist())], ["c", "y", "a", "b"])
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                a, b = ([x.tobytes() for x in v.astype("<f4")] for v in _features(part))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["doc_id", "y", "a", "b"])
 
-    id_type = rows.schema["c"].dataType.simpleString()
-    got = rows.mapInArrow(run, f"c {id_type}, y int, a array<double>, b array<double>").toArrow().sort_by("c").to_pydict()
-    known = np.array([v is not None for v in got["y"]], bool)
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    made = rows.mapInArrow(run, f"doc_id {id_type}, y int, a binary, b binary")
+    every = settled(made)
+    got = every.where("y is not null").toArrow().sort_by("doc_id").to_pydict()
     wide = (len(content("")), len(page("", None, None, None)))
-    views = [np.array(got[k], float).reshape(-1, n) for k, n in zip("ab", wide)]
-    return [v[known] for v in views], np.array([v for v in got["y"] if v is not None]), [v[~known] for v in views]
+    views = [np.frombuffer(b"".join(got[k]), "<f4").astype(float).reshape(-1, n) for k, n in zip("ab", wide)]
+    return views, np.array(got["y"]), every.where("y is null")
 
 
 def score(docs: DataFrame, labels: DataFrame, plan: Plan = Plan()) -> DataFrame:
