@@ -32,7 +32,7 @@ def test_classifier_without_labels_and_rows(spark, make):
 
 def test_all_unlabelled_documents_are_scored_for_training(spark, make):
     """More documents than any sample: the pool has each id once, and its sums are those of all rows."""
-    rows = [(k, f"Some text {k % 50}. It has words.") for k in range(7000)]
+    rows = [(k, f"Some text {k % 50}. It has words.") for k in range(7000)] + [(1, "Again another text.")] * 500
     labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)] + [(1, 1, 0)], "doc_id long, quality int, toxic int")
     views, y, pool = cotrain._sample(cotrain.texts(make(rows), "lang", "source", "n_chars"), labels, cotrain.Plan())
     assert len(y) == len(views[0]) == len(views[1]) == 40

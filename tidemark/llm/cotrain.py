@@ -6,7 +6,7 @@ rounds, each classifier labels those of all unlabelled documents that it is most
 the other's training rows. At the end each view is calibrated on labelled rows that it was not trained on, and the
 calibrated log-odds of the views, added and calibrated once more, score all documents.
 
-Labelled rows are a bounded sample, chosen by a hash of the id. The features of the other documents are
+Labelled rows are a bounded sample, chosen by a hash of the id. The features of the other documents, once per id, are
 kept in the shared folder. Each round takes their scores' histogram, whose tails give the thresholds, and
 fits by gradients and Hessians summed over partitions, so every confident document counts and the driver holds
 only sums. Every document is scored at the end, in one pass without a shuffle.
@@ -218,7 +218,7 @@ def _features(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, plan: Plan) -> tuple[list[np.ndarray], np.ndarray, DataFrame]:
-    """Features and labels of the sample of labelled rows, and the features of all other documents."""
+    """Features and labels of the sample of labelled rows, and the features of all other documents; one row for each id."""
     good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("y"))
     # At most ``labelled`` ids, so they can be broadcast.
     some = good.orderBy(F.xxhash64("doc_id", F.lit(1))).limit(plan.labelled).select(F.col("doc_id").alias("c"), F.col("y").cast("int").alias("y"))
@@ -233,7 +233,7 @@ def _sample(docs: DataFrame, labels: DataFrame, plan: Plan) -> tuple[list[np.nda
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     made = rows.mapInArrow(run, f"doc_id {id_type}, y int, a binary, b binary")
-    every = settled(made)
+    every = settled(made.groupBy("doc_id").agg(F.min(F.struct("a", "b", "y")).alias("f")).select("doc_id", "f.*"))
     got = every.where("y is not null").toArrow().sort_by("doc_id").to_pydict()
     wide = (len(content("")), len(page("", None, None, None)))
     views = [np.frombuffer(b"".join(got[k]), "<f4").astype(float).reshape(-1, n) for k, n in zip("ab", wide)]
