@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, cotrain, fingerprints, packing, pii, quality_rules, secrets, simhash, substring_dedup, suffix_dedup
+from tidemark.llm import bpe, cotrain, fingerprints, line_dedup, packing, pii, quality_rules, secrets, simhash, substring_dedup, suffix_dedup
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -49,8 +49,10 @@ OP7_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(tex
     CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
     len(l) AS n_lines, len(list_filter(w, lambda x: ends_with(x, '!!'))) AS n_shout,
     len(list_filter(w, lambda x: lower(regexp_replace(x, '[.,;:!?]+$', '')) IN ({_STOP}))) AS n_stop,
-    len(list_filter(l, lambda x: regexp_matches(x, '^[ 	-]*[-*•‣▪●]'))) AS n_bullets,
-    len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[ 	-]*$'))) AS n_ellipses
+    len(list_filter(l, lambda x: regexp_matches(x, '^[ 	-
+]*[-*•‣▪●]'))) AS n_bullets,
+    len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[ 	-
+]*$'))) AS n_ellipses
     FROM p LEFT JOIN rep USING (r)),
   b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
   SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -58,6 +60,17 @@ OP7_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(tex
     AND n_shout <= 0.5 * n_words AND n_stop >= 0.01 * n_words AND n_dup_lines <= 0.5 * n_lines
     AND n_bullets <= 0.9 * n_lines AND n_ellipses <= 0.5 * n_lines AS kept FROM b"""
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+#: Lines by number, and the keys that ten documents have.
+OP11_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+  line AS (SELECT r, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS x FROM d),
+  keyed AS (SELECT *, translate(regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '{_UPPER}', '{_UPPER.lower()}') AS k FROM line),
+  often AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10),
+  kept AS (SELECT r, count(*) AS n, string_agg(x, chr(10) ORDER BY i) AS t FROM keyed ANTI JOIN often USING (k) GROUP BY r)
+  SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - coalesce(n, 0) AS BIGINT) AS n_dropped,
+    sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)"""
+
 
 @query("op1_cost_packing")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,3 +127,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_cotrained_quality")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op11_line_dedup", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that ten documents have."""
+    return line_dedup.without_common_lines(documents(spark, sf_dir), documents=10, least=1).drop("kept")
