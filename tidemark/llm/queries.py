@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, cotrain, fingerprints, line_dedup, packing, pii, quality_rules, secrets, simhash, substring_dedup, suffix_dedup
+from tidemark.llm import bpe, cotrain, fingerprints, line_dedup, packing, pii, quality_rules, ranked_search, secrets, simhash, substring_dedup, suffix_dedup, whitening
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -71,6 +71,26 @@ OP11_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_spli
   SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - coalesce(n, 0) AS BIGINT) AS n_dropped,
     sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)"""
 
+_TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+
+def _terms(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_UPPER.lower()}'), {_TERM})"
+
+
+#: Every document is scored for every item that shares a term with it.
+OP13_SQL = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms("text")} AS t FROM documents),
+  q AS (SELECT DISTINCT item_id, unnest({_terms("text")}) AS term FROM benchmark),
+  s AS (SELECT count(*) FILTER (len(t) > 0) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d),
+  word AS (SELECT r, unnest(t) AS term FROM d),
+  tf AS (SELECT r, term, count(*) AS tf FROM word SEMI JOIN q USING (term) GROUP BY r, term),
+  weight AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term),
+  part AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(t) * n_docs) // n_terms))) AS x
+    FROM tf JOIN weight USING (term) JOIN d USING (r), s),
+  total AS (SELECT item_id, r, doc_id, CAST(sum(x) AS BIGINT) AS score FROM q JOIN part USING (term) GROUP BY item_id, r, doc_id),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS k FROM total WHERE score > 0)
+  SELECT item_id, CAST(k AS INTEGER) AS rank, doc_id, score FROM ranked WHERE k <= 50"""
+
 
 @query("op1_cost_packing")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,3 +153,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that ten documents have."""
     return line_dedup.without_common_lines(documents(spark, sf_dir), documents=10, least=1).drop("kept")
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight greatest components of whole-number embeddings."""
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op13_ranked_search", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty documents an item."""
+    return ranked_search.best_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
