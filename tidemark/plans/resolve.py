@@ -11,8 +11,8 @@ Three plans give the same answer where they all apply:
 * open-ended writes only: sorted by valid time, the visible writes are exactly the
   record highs of the write order, and each lasts until the next record high.
   Two windows share one shuffle and one sort; the payload just flows along.
-* bounded writes: a sweep over each id's periods with a heap of active writes,
-  linear in writes up to the heap, never quadratic.
+* bounded writes: a binary tree over the points in time of each id (see ``sweep.winners``),
+  n log n for n writes, never quadratic, on narrow Arrow columns.
 
 Ids too large for one task go through ``_resolve_hot`` instead (see there).
 """
@@ -112,24 +112,27 @@ def _attach_payload(segments: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def _resolve_mixed(log: DataFrame) -> DataFrame:
-    """Ids without a bounded write resolve in the JVM; only the others are swept."""
-    bounded = log.where(F.col(VALID_TO).isNotNull()).select(F.col(ID).alias("_bounded")).distinct()
-    same = F.col(ID) == F.col("_bounded")
-    return _resolve_open(log.join(bounded, same, "left_anti")).select(*[c for c in log.columns if c != OP]).unionByName(
-        _resolve_swept(log.join(bounded, same, "left_semi")))
+    """Ids without a bounded write go by record highs in the JVM; the others' versions come from narrow rows.
 
-
-def _resolve_swept(log: DataFrame) -> DataFrame:
-    rows = _narrow(log).withColumn("_chunk", F.lit(0))
-    segments = _sweep(rows, {}).where("_put").drop("_chunk", "_put", "_edge")
-    return _attach_payload(segments, log)
-
-
-def _sweep(rows: DataFrame, cuts: dict) -> DataFrame:
-    schema = T.StructType(list(rows.schema.fields) + [T.StructField("_edge", T.BooleanType())])
+    Payload is joined back by a write's place among those of its id, which is unique even where
+    ``(_tx, _seq)`` is not. One shuffle of the payload by id serves both sides.
+    """
+    order = [*ORDER, VALID_FROM, VALID_TO]
+    line = Window.partitionBy(ID).orderBy(*order)
+    told = log.withColumns({"_bounded": F.max(F.col(VALID_TO).isNotNull()).over(
+        line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), "_w": F.row_number().over(line)})
+    alone = _resolve_open(told.where(~F.col("_bounded")).drop("_bounded", "_w"))
+    found = _resolved(_narrow(log), [ID], order).where("_bounded AND _put").select(ID, "_w", VALID_FROM, VALID_TO)
+    rest = told.where("_bounded").where(F.col(OP) == PUT).drop(VALID_FROM, VALID_TO, OP, "_bounded")
+    columns = [c for c in log.columns if c != OP]
+    return alone.select(*columns).unionByName(rest.join(found, [ID, "_w"]).select(*columns))
+
+
+def _resolved(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     ship(rows.sparkSession)
-    ordered = rows.repartition(ID, "_chunk").sortWithinPartitions(ID, "_chunk", VALID_FROM)
-    return ordered.mapInArrow(sweep.sweeper(rows.columns, cuts), schema)
+    more = [T.StructField("_w", T.IntegerType()), T.StructField("_edge", T.BooleanType()), T.StructField("_bounded", T.BooleanType())]
+    ordered = rows.repartition(*group).sortWithinPartitions(*group, *order)
+    return ordered.mapInArrow(sweep.resolver(rows.columns, group), T.StructType([*rows.schema.fields, *more]))
 
 
 def _chunk_highs(rows: DataFrame) -> DataFrame:
@@ -158,22 +161,22 @@ def _resolve_hot(log: DataFrame, prof: KeyProfile, open_ended: bool) -> DataFram
     of a binary tree over the chunks, so only the greatest write per node is kept
     (aggregated before the shuffle).  A chunk then needs the writes with an end
     inside it plus one base write: the greatest among its ancestors in the tree.
-    Chunks are swept independently; only versions touching a cut are stitched.
+    Chunks are resolved independently; only versions touching a cut are stitched.
     """
     spark = log.sparkSession
     narrow = _narrow(log)
     cuts = cut_points(narrow, prof)
     if not cuts:  # the profile named ids this log has no writes for
-        return _resolve_swept(log)
+        return _resolve_mixed(log)
     depth = max(len(c) for c in cuts.values()).bit_length() + 1
-    pieces_schema = T.StructType(
+    cut_schema = T.StructType(
         [T.StructField(f.name, f.dataType) for f in narrow.schema.fields]
         + [T.StructField("_level", T.IntegerType()), T.StructField("_chunk", T.IntegerType())]
     )
     ship(spark)
-    pieces = narrow.mapInArrow(sweep.cutter(narrow.columns, cuts, depth), pieces_schema)
+    cut = narrow.mapInArrow(sweep.cutter(narrow.columns, cuts, depth), cut_schema)
     keys = [ID, "_level", "_chunk", VALID_FROM, VALID_TO]
-    best = pieces.groupBy(*keys).agg(F.max(F.struct(TX, SEQ, "_put")).alias("_w"))
+    best = cut.groupBy(*keys).agg(F.max(F.struct(TX, SEQ, "_put")).alias("_w"))
     # Generated rows keep the two filters below from being pushed apart, so the pieces
     # are made and shuffled once.
     best = best.select(F.inline(F.array(F.struct(*keys, "_w"))))
@@ -183,7 +186,7 @@ def _resolve_hot(log: DataFrame, prof: KeyProfile, open_ended: bool) -> DataFram
 
     # One row per chunk of a hot id: bounded by the cuts already on the driver.
     leaf_schema = T.StructType(
-        [pieces_schema[c] for c in (ID, VALID_FROM, VALID_TO, "_chunk")])
+        [cut_schema[c] for c in (ID, VALID_FROM, VALID_TO, "_chunk")])
     leaves = spark.createDataFrame(
         sweep.leaf_table(cuts, narrow.schema[VALID_FROM].dataType), leaf_schema)
     ancestors = leaves.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(depth)))).withColumn(
@@ -198,7 +201,7 @@ def _resolve_hot(log: DataFrame, prof: KeyProfile, open_ended: bool) -> DataFram
     if open_ended:
         swept = _chunk_highs(rows).where("_put")
     else:
-        swept = _sweep(rows.select(*narrow.columns, "_chunk"), cuts).where("_put")
+        swept = _resolved(rows.select(*narrow.columns, "_chunk"), [ID, "_chunk"], list(ORDER)).where("_put")
     inner = swept.where(~F.col("_edge")).select(ID, VALID_FROM, VALID_TO, TX, SEQ)
 
     # At most two versions per chunk touch a cut, so this window is small for any id.

@@ -1,12 +1,12 @@
-"""Arrow-batch helpers of the resolution plans: the sweep and the cutting of periods.
+"""Arrow-batch helpers of the resolution plans: versions of bounded writes and the cutting of periods.
 
-Both run inside ``mapInArrow`` on narrow rows (no payload).  Instants are handled
+Both run inside ``mapInArrow`` on narrow rows (no payload), whole columns at a time.  Instants are handled
 as epoch microseconds; an open end is the largest 64-bit integer.
 """
 
 from __future__ import annotations
 
-from heapq import heappop, heappush
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,95 +25,119 @@ def _instant_array(values, arrow_type) -> pa.Array:
     return pa.array(ints, mask=ints == OPEN).cast(arrow_type)
 
 
-def sweeper(columns: list[str], cuts: dict):
-    """Function for ``mapInArrow``: rows sorted by id, chunk and start -> versions.
+#: Rows resolved together, but for a group that has more.
+BATCH = 1 << 18
 
-    State is one heap of the writes active in the current group, carried across
-    batches, so a group may span any number of them.
+
+def resolver(columns: list[str], group: list[str]):
+    """Function for ``mapInArrow``: narrow rows, those of a group together -> the versions of each group.
+
+    A version has the columns of the write that wins it with its own period, and ``_w``, that write's place among
+    the rows of its group; ``_edge`` marks the first and last version of a group, and ``_bounded`` groups with a write that ends.
     """
 
-    def run(batches):
-        group, heap, last, now = None, [], None, 0
-        out: list[tuple] = []
-
-        def emit(segment):
-            key, chunk = group
-            start, end = segment[0], segment[1]
-            edge = False
-            if key in cuts:
-                bounds = cuts[key]
-                low = bounds[chunk - 1] if chunk > 0 else None
-                high = bounds[chunk] if chunk < len(bounds) else None
-                edge = start == low or end == high
-            out.append((key, start, end, segment[2], segment[3], segment[4], chunk, edge))
-
-        def advance(until):
-            """Move the sweep to ``until``, closing versions whose winner changed."""
-            nonlocal last, now
-            while now < until:
-                while heap and heap[0][2] <= now:
-                    heappop(heap)
-                if not heap:
-                    now = until
-                    return
-                neg_tx, neg_seq, end, put = heap[0]
-                end = min(end, until)
-                if last and last[1] == now and last[2] == -neg_tx and last[3] == -neg_seq:
-                    last[1] = end
-                else:
-                    if last:
-                        emit(last)
-                    last = [now, end, -neg_tx, -neg_seq, put]
-                now = end
-
-        def finish():
-            nonlocal last
-            if group is not None:
-                advance(OPEN)
-                if last:
-                    emit(last)
-            heap.clear()
-            last = None
-
-        id_type = time_type = None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            data = dict(zip(columns, batch.columns))
-            id_type, time_type = data[ID].type, data[VALID_FROM].type
-            rows = zip(
-                data[ID].to_pylist(), data["_chunk"].to_pylist(),
-                _instants(data[VALID_FROM]).tolist(), _instants(data[VALID_TO]).tolist(),
-                data[TX].to_pylist(), data[SEQ].to_pylist(), data["_put"].to_pylist(),
-            )
-            for key, chunk, start, end, tx, seq, put in rows:
-                if (key, chunk) != group:
-                    finish()
-                    group, now = (key, chunk), start
-                advance(start)
-                heappush(heap, (-tx, -seq, end, put))
-            if len(out) >= 10_000:
-                yield _versions_batch(out, columns, id_type, time_type)
-                out = []
-        finish()
-        if out:
-            yield _versions_batch(out, columns, id_type, time_type)
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += batch.num_rows
+            if size >= BATCH:
+                rows = pa.Table.from_batches(held).combine_chunks()
+                starts = _group_starts(rows, group)
+                if starts[-1]:
+                    yield from _resolved(rows.slice(0, int(starts[-1])), starts[:-1], columns)
+                rest = rows.slice(int(starts[-1]))
+                # A copy, so that what is done with can be freed.
+                held, size = rest.take(pa.array(np.arange(rest.num_rows))).to_batches(), rest.num_rows
+        if size:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            yield from _resolved(rows, _group_starts(rows, group), columns)
 
     return run
 
 
-def _versions_batch(rows, columns, id_type, time_type) -> pa.RecordBatch:
-    ids, starts, ends, txs, seqs, puts, chunks, edges = zip(*rows)
-    made = {
-        ID: pa.array(ids, id_type),
-        VALID_FROM: _instant_array(starts, time_type),
-        VALID_TO: _instant_array(ends, time_type),
-        TX: pa.array(txs, pa.int64()),
-        SEQ: pa.array(seqs, pa.int64()),
-        "_put": pa.array(puts, pa.bool_()),
-        "_chunk": pa.array(chunks, pa.int32()),
-        "_edge": pa.array(edges, pa.bool_()),
-    }
-    names = [*columns, "_edge"]
-    return pa.RecordBatch.from_arrays([made[n] for n in names], names)
+def _group_starts(rows: pa.Table, group: list[str]) -> np.ndarray:
+    new = np.zeros(rows.num_rows, bool)
+    new[0] = True
+    for name in group:
+        codes = rows.column(name).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.nonzero(new)[0]
+
+
+def winners(group: np.ndarray, start: np.ndarray, end: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Periods and the writes that win them: of those of a group that cover an instant, the greatest by ``order``.
+
+    The starts and ends of all groups, in order, cut time into elementary intervals, the leaves of a binary
+    tree. A write covers a run of leaves, which is the union of two nodes a level at most. A node keeps its
+    greatest write; the winner of a leaf is the greatest among its ancestors'. Returns group, start, end and
+    order of each version; neighbouring leaves with one winner are one.
+    """
+    bounded = end != OPEN
+    g, p = np.concatenate([group, group[bounded]]), np.concatenate([start, end[bounded]])
+    by = np.lexsort((p, g))
+    new = np.ones(len(by), bool)
+    new[1:] = (g[by[1:]] != g[by[:-1]]) | (p[by[1:]] != p[by[:-1]])
+    leaf = np.empty(len(by), np.int64)
+    leaf[by] = np.cumsum(new) - 1
+    at, point = g[by[new]], p[by[new]]
+    a, b = leaf[:len(group)], np.searchsorted(at, group, side="right")
+    b[bounded] = leaf[len(group):]
+
+    n = len(at)
+    levels: list[np.ndarray] = []
+    lo, hi, write = a.copy(), b.copy(), order.copy()
+    while len(lo):
+        best = np.full(-(-n >> len(levels)) + 1, -1, np.int64)
+        left, right = (lo & 1).astype(bool), (hi & 1).astype(bool)
+        np.maximum.at(best, lo[left], write[left])
+        np.maximum.at(best, hi[right] - 1, write[right])
+        levels.append(best)
+        lo, hi = (lo + 1) >> 1, hi >> 1
+        on = lo < hi
+        lo, hi, write = lo[on], hi[on], write[on]
+    won = np.full(1, -1, np.int64)
+    for best in reversed(levels):
+        won = np.maximum(np.repeat(won, 2)[:len(best)], best) if len(won) * 2 >= len(best) else np.maximum(
+            np.concatenate([np.repeat(won, 2), np.full(len(best) - 2 * len(won), -1)]), best)
+    won = won[:n]
+
+    until = np.append(point[1:], OPEN)
+    until[:-1][at[1:] != at[:-1]] = OPEN
+    first = np.ones(n, bool)
+    first[1:] = (at[1:] != at[:-1]) | (won[1:] != won[:-1])
+    spot = np.nonzero(first)[0]
+    last = np.append(spot[1:], n) - 1
+    some = won[spot] >= 0
+    return at[spot][some], point[spot][some], until[last][some], won[spot][some]
+
+
+def _resolved(rows: pa.Table, starts: np.ndarray, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    n = rows.num_rows
+    begins, ends = _instants(rows.column(VALID_FROM).combine_chunks()), _instants(rows.column(VALID_TO).combine_chunks())
+    group = np.zeros(n, np.int64)
+    group[starts[1:]] = 1
+    group = np.cumsum(group)
+    tx, seq = (rows.column(c).to_numpy() for c in (TX, SEQ))
+    by = np.lexsort((np.arange(n), seq, tx))
+    order = np.empty(n, np.int64)
+    order[by] = np.arange(n)
+    at, since, until, won = winners(group, begins, ends, order)
+    write = by[won]
+    ends_some = np.zeros(len(starts), bool)
+    ends_some[group[ends != OPEN]] = True
+    edge = np.ones(len(at), bool)
+    edge[1:-1] = (at[1:-1] != at[:-2]) | (at[1:-1] != at[2:])
+    out = rows.take(pa.array(write))
+    time_type = rows.schema.field(VALID_FROM).type
+    made = {c: out.column(c).combine_chunks() for c in columns} | {
+        VALID_FROM: _instant_array(since, time_type), VALID_TO: _instant_array(until, time_type),
+        "_w": pa.array((write - starts[at] + 1).astype(np.int32)), "_edge": pa.array(edge), "_bounded": pa.array(ends_some[at])}
+    names = [*columns, "_w", "_edge", "_bounded"]
+    yield pa.RecordBatch.from_arrays([made[c] for c in names], names)
 
 
 def cutter(columns: list[str], cuts: dict, depth: int):
