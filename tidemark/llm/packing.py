@@ -69,10 +69,7 @@ def fill(lengths: list[int], capacity: np.ndarray, packing: Packing) -> list[Pie
         start, left = 0, lengths[doc]
         while left:
             open_ = room >= min(left, packing.size)
-            if open_.any():
-                k = int(np.argmin(np.where(open_, cost, np.inf)))
-            else:
-                k = int(np.argmin(cost))
+            k = int(np.argmin(np.where(open_, cost, np.inf) if open_.any() else cost))
             take = int(min(left, room[k]))
             put(doc, start, take, k)
             start, left = start + take, left - take
@@ -85,9 +82,9 @@ def capacities(tokens: int, size: int) -> np.ndarray:
     return np.array([size] * (tokens // size) + [1 << b for b in range(size.bit_length(), -1, -1) if rest >> b & 1], np.int64)
 
 
-def pack(docs: DataFrame, packing: Packing) -> DataFrame:
-    """One row per piece: ``doc_id``, ``start``, ``length``, ``ids``, ``ids_crc32``, ``doc_tokens``,
-    ``sequence_id``, ``offset`` and ``sequence_length``.
+def pack(docs: DataFrame, packing: Packing, with_ids: bool = True) -> DataFrame:
+    """One row per piece: ``doc_id``, ``start``, ``length``, ``ids`` (unless told otherwise), ``ids_crc32``,
+    ``doc_tokens``, ``sequence_id``, ``offset`` and ``sequence_length``.
 
     Each id lies in exactly one piece. A null or empty text is its end id alone. Repeated rows
     and rows with a null id are packed like any other, one by one. An empty table gives no row.
@@ -96,6 +93,9 @@ def pack(docs: DataFrame, packing: Packing) -> DataFrame:
     rows = texts(docs).withColumn("partition", F.spark_partition_id())
     id_type = rows.schema["doc_id"].dataType.simpleString()
     full = packing.size * packing.block
+    schema = {"doc_id": id_type, "start": "long", "length": "long", **({"ids": "array<int>"} if with_ids else {}), "ids_crc32": "long",
+              "doc_tokens": "long", "sequence_id": "long", "offset": "long", "sequence_length": "long"}
+    names = list(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = kept_codes(packing.path, _packed, packing.words)
@@ -121,32 +121,34 @@ def pack(docs: DataFrame, packing: Packing) -> DataFrame:
             space = capacities(take, packing.size)
             pieces = fill([len(ids) for _, ids, _, _ in chosen], space, packing)
             parts = [chosen[p.doc][1][p.start:p.start + p.length] for p in pieces]
-            out = pa.RecordBatch.from_arrays([
-                pa.array([chosen[p.doc][0] for p in pieces], batch.column("doc_id").type),
-                pa.array([chosen[p.doc][2] + p.start for p in pieces], pa.int64()),
-                pa.array([p.length for p in pieces], pa.int64()),
-                pa.ListArray.from_arrays(np.cumsum([0] + [len(x) for x in parts]).astype(np.int32), pa.array(np.concatenate(parts).astype(np.int32))),
-                pa.array([zlib.crc32(x.tobytes()) for x in parts], pa.int64()),
-                pa.array([chosen[p.doc][3] for p in pieces], pa.int64()),
-                pa.array([(partition << 40) + done + p.sequence for p in pieces], pa.int64()),
-                pa.array([p.offset for p in pieces], pa.int64()),
-                pa.array([int(space[p.sequence]) for p in pieces], pa.int64()),
-            ], ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length"])
+            columns = {
+                "doc_id": pa.array([chosen[p.doc][0] for p in pieces], batch.column("doc_id").type),
+                "start": pa.array([chosen[p.doc][2] + p.start for p in pieces], pa.int64()),
+                "length": pa.array([p.length for p in pieces], pa.int64()),
+                "ids_crc32": pa.array([zlib.crc32(x) for x in parts], pa.int64()),
+                "doc_tokens": pa.array([chosen[p.doc][3] for p in pieces], pa.int64()),
+                "sequence_id": pa.array([(partition << 40) + done + p.sequence for p in pieces], pa.int64()),
+                "offset": pa.array([p.offset for p in pieces], pa.int64()),
+                "sequence_length": pa.array([int(space[p.sequence]) for p in pieces], pa.int64()),
+            }
+            if with_ids:
+                columns["ids"] = pa.ListArray.from_arrays(
+                    np.cumsum([0] + [len(x) for x in parts]).astype(np.int32), pa.array(np.concatenate(parts).astype(np.int32)))
+            out = pa.RecordBatch.from_arrays([columns[c] for c in names], names)
             held, size, done = rest, size - take, done + len(space)
             return out
 
         for batch in batches:
             ids_ = batch.column("doc_id").to_pylist()
+            if batch.num_rows:
+                partition = batch.column("partition")[0].as_py()  # the same in all of a task's rows
             for k, text in enumerate(batch.column("text")):
-                ids = np.frombuffer(b"".join([*map(codes.__getitem__, text.as_py().encode().split()), end]), "<u4")
+                ids = np.frombuffer(b"".join([*map(codes.__getitem__, text.as_buffer().to_pybytes().split()), end]), "<u4")
                 held.append((ids_[k], ids, 0, len(ids)))
                 size += len(ids)
-                partition = batch.column("partition")[k].as_py()
                 while size >= full:
                     yield block(full)
         if size:
             yield block(size)
 
-    return rows.mapInArrow(
-        run, f"doc_id {id_type}, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, "
-        "sequence_id long, offset long, sequence_length long")
+    return rows.mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind in schema.items()))

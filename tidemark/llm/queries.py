@@ -95,7 +95,7 @@ OP13_SQL = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms("tex
 @query("op1_cost_packing")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of 4,096 ids; each document is closed by id 2."""
-    return packing.pack(documents(spark, sf_dir), packing.Packing(public_tokenizers.path("word_bpe_49k.json"))).drop("ids")
+    return packing.pack(documents(spark, sf_dir), packing.Packing(public_tokenizers.path("word_bpe_49k.json")), with_ids=False)
 
 
 @query("op3_secret_scans")

@@ -1,7 +1,7 @@
 """Token ids word by word, exactly as the tokenizer gives them for the whole text.
 
 White space separates tokens of this kind of tokenizer, so the ids of a text are those of its
-words one after another. Words repeat a lot; the ids of a bounded number of them are remembered.
+words one after another. Words repeat a lot; the ids of a bounded number of those met lately are remembered.
 """
 
 from __future__ import annotations
@@ -20,17 +20,42 @@ def _byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in plain}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
 
 
-class WordCodes(dict):
+#: Signs that follow a word and are a part of their own.
+_MARKS = frozenset(".,;:!?")
+
+
+class Recent(dict):
+    """What ``make`` makes of a key, kept for some ``limit`` keys: those met lately.
+
+    When half of them are new, the older half goes, but for what was met since.
+    """
+
+    def __init__(self, make, limit: int) -> None:
+        super().__init__()
+        self.make, self.half, self.old = make, max(1, limit // 2), {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class WordCodes(Recent):
     """word (bytes without ASCII white space) -> what ``keep`` makes of its token ids."""
 
     def __init__(self, path: str, keep, limit: int) -> None:
-        super().__init__()
+        super().__init__(lambda word: keep(self.ids(word)), limit)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.model, self.keep, self.limit = self.tokenizer.model, keep, limit
+        self.model = self.tokenizer.model
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
-        self.parts: dict[str, tuple[int, ...]] = {}
+        self.parts = Recent(self._part, limit // 2)
         self.split = self._splitter(path)
 
     @staticmethod
@@ -43,13 +68,8 @@ class WordCodes(dict):
         return regex.compile(split[0]) if kinds == ["NFC", "Replace", "Lowercase"] and split and split[0] else None
 
     def _part(self, part: str) -> tuple[int, ...]:
-        ids = self.parts.get(part)
-        if ids is None:
-            if len(self.parts) >= self.limit // 2:
-                self.parts.clear()
-            mapped = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-            ids = self.parts[part] = tuple([t.id for t in self.model.tokenize(mapped)])
-        return ids
+        mapped = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        return tuple([t.id for t in self.model.tokenize(mapped)])
 
     def ids(self, word: bytes) -> tuple[int, ...]:
         """Printable Latin words are their own normal forms; their parts go to the model directly.
@@ -58,16 +78,12 @@ class WordCodes(dict):
         if self.split and (word.isascii() or max(text) < "Ā") and text.isprintable() and b"<|" not in word:
             low = text.lower()
             if low.isalpha():
-                return self._part(low)
-            return tuple([k for part in self.split.findall(low) for k in self._part(part)])
+                return self.parts[low]
+            if low[-1] in _MARKS and low[:-1].isalpha():
+                return self.parts[low[:-1]] + self.parts[low[-1]]
+            return tuple([k for part in self.split.findall(low) for k in self.parts[part]])
         return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def __missing__(self, word: bytes):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = self.keep(self.ids(word))
-        return value
-
 
 @lru_cache(4)
 def kept_codes(path: str, keep, limit: int) -> WordCodes:
