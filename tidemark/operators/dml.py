@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.columns import (
     DELETE, ID, LOG_COLUMNS, OP, PUT, SEQ, SYSTEM_FROM, TX, VALID_FROM, VALID_TO,
@@ -44,13 +45,16 @@ def put(
     valid_to=None,
     position: Column | None = None,
     data_type: str = "timestamp_ntz",
+    distinct_ids: bool = False,
 ) -> DataFrame:
     """Insert or replace records.
 
     Valid from the given instant (default: the transaction's time), or from each
     record's own ``_valid_from`` where it brings one; open-ended unless ``valid_to``
     or the record says otherwise.  ``position`` orders records of one id inside the
-    transaction.
+    transaction, and must tell them apart.  Without it they are numbered by period and content, so
+    what wins does not depend on the order of rows; ``distinct_ids`` promises that no id comes
+    twice and saves that shuffle.
     """
     start = instant_literal(system_from if valid_from is None else valid_from, data_type)
     end = instant_literal(valid_to, data_type)
@@ -59,7 +63,22 @@ def put(
     if VALID_TO in records.columns:
         end = F.coalesce(F.col(VALID_TO).cast(data_type), end)
     rows = records.withColumns({VALID_FROM: start, VALID_TO: end})
-    return _as_log(rows, tx, system_from, PUT, F.lit(0) if position is None else position, data_type)
+    if position is None:
+        position = F.lit(0) if distinct_ids else F.row_number().over(
+            Window.partitionBy(ID).orderBy(VALID_FROM, VALID_TO, *_content(rows))) - 1
+    return _as_log(rows, tx, system_from, PUT, position, data_type)
+
+
+def _content(rows: DataFrame) -> list[Column]:
+    """The payload as columns that have an order."""
+    def ordered(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return all(ordered(f.dataType) for f in kind)
+        if isinstance(kind, T.ArrayType):
+            return ordered(kind.elementType)
+        return not isinstance(kind, (T.MapType, T.VariantType))
+
+    return [F.col(f"`{c}`") if ordered(rows.schema[c].dataType) else F.to_json(F.struct(F.col(f"`{c}`"))) for c in payload_columns(rows)]
 
 
 def affected(

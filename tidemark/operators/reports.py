@@ -180,7 +180,7 @@ def drift(
     parts = []
     for number, day in enumerate(days[1:], 2):
         state = state.withColumns(changes(number))
-        parts.append(dml.put(state, first_tx + number, day))
+        parts.append(dml.put(state, first_tx + number, day, distinct_ids=True))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

@@ -57,7 +57,7 @@ def json_records_ingest(spark, sf_dir):
         F.concat(F.lit('{"_id":'), "event_id", F.lit(',"props":'), "props", F.lit("}")).alias("json"),
         F.col("ts").alias(VALID_FROM))
     docs = records.from_json_text(text, "json", "bigint")
-    log = dml.put(docs, 1, NOW)
+    log = dml.put(docs, 1, NOW, distinct_ids=True)
     return log.select(ID, F.try_variant_get("doc", "$.props.k", "bigint").alias("k"), VALID_FROM)
 
 

@@ -45,7 +45,7 @@ def _supplier_days_sql() -> str:
   PARTITION BY _id ORDER BY _valid_from) AS _valid_to FROM ({_supplier_days_sql()})""")
 def daily_drift(spark, sf_dir):
     supplier = logs.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias(ID), "s_acctbal")
-    first = VersionedTable(dml.put(supplier, 1, DAYS[0]), open_ended=True)
+    first = VersionedTable(dml.put(supplier, 1, DAYS[0], distinct_ids=True), open_ended=True)
     rows = reports.drift(
         first, DAYS, lambda n: {"s_acctbal": F.col("s_acctbal") + 100.0 * n}, first_tx=0)
     log = dml.append(first.log, rows)
@@ -66,7 +66,7 @@ def _part_days_sql() -> str:
   PARTITION BY _id ORDER BY _valid_from) AS _valid_to FROM ({_part_days_sql()})""")
 def daily_price_drift(spark, sf_dir):
     part = logs.table(spark, sf_dir, "part").select(F.col("p_partkey").alias(ID), "p_retailprice")
-    first = VersionedTable(dml.put(part, 1, DAYS[0]), open_ended=True)
+    first = VersionedTable(dml.put(part, 1, DAYS[0], distinct_ids=True), open_ended=True)
     rows = reports.drift(
         first, DAYS, lambda n: {"p_retailprice": F.col("p_retailprice") * (1 + 0.01 * n)}, first_tx=0)
     return VersionedTable(dml.append(first.log, rows), open_ended=True).all_versions().select(
@@ -199,7 +199,7 @@ def bulk_corrections(spark, sf_dir):
     for name, (key, changes, where) in RULES.items():
         loaded = logs.table(spark, sf_dir, name).withColumn(
             ID, F.col(key).cast("string") if key else logs.line_id())
-        tables[name] = VersionedTable(dml.put(loaded, 1, LOADED_AT), open_ended=True)
+        tables[name] = VersionedTable(dml.put(loaded, 1, LOADED_AT, distinct_ids=True), open_ended=True)
         rules[name] = reports.Correction(
             {c: F.expr(e) for c, e in changes.items()}, F.expr(where) if where else None)
     corrected = reports.bulk_corrections(tables, rules, 2, CORRECTED_AT)

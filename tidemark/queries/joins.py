@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.columns import ID
-from tidemark.operators import relational, reports, travel
+from tidemark.operators import relational, reports, theta, travel
 from tidemark.operators.relational import bind, unify
 from tidemark.queries import logs
 from tidemark.queries.registry import query
@@ -136,6 +136,15 @@ def theta_join(spark, sf_dir):
         "dearer_parts > 0").select("brand", "dearer_parts")
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_extendedprice, p_partkey, p_retailprice
+  FROM lineitem JOIN part ON l_extendedprice < p_retailprice""")
+def theta_join_rows(spark, sf_dir):
+    """Lines sold for less than a part costs, with every such part."""
+    lines = logs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    parts = logs.table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    return theta.theta_join(lines, "<", parts, "l_extendedprice", "p_retailprice")
+
+
 @query("""SELECT s_suppkey AS supplier, r_name AS region, n_regionkey = r_regionkey AS home
   FROM supplier JOIN nation ON s_nationkey = n_nationkey CROSS JOIN region""")
 def cross_join(spark, sf_dir):

@@ -50,14 +50,14 @@ def _with_log2(more: str, then: str, before: str = "") -> str:
 @query(_with_log2(_put_sql(NOW), f"{as_of_cte('log2', 'state', NOW)} {STATE}"))
 def put_upsert(spark, sf_dir):
     table = _table(spark, sf_dir)
-    rows = dml.put(_totals(spark, sf_dir), TX_AFTER, NOW)
+    rows = dml.put(_totals(spark, sf_dir), TX_AFTER, NOW, distinct_ids=True)
     return table.after_puts(rows).current(NOW)
 
 
 @query(_with_log2(_put_sql("2024-01-05 00:00:00"), f"{versions_ctes('log2', 'v2')} {HISTORY}"))
 def put_backdated(spark, sf_dir):
     table = _table(spark, sf_dir)
-    rows = dml.put(_totals(spark, sf_dir), TX_AFTER, NOW, valid_from="2024-01-05 00:00:00")
+    rows = dml.put(_totals(spark, sf_dir), TX_AFTER, NOW, valid_from="2024-01-05 00:00:00", distinct_ids=True)
     return history(table.after_puts(rows).all_versions())
 
 
@@ -67,7 +67,7 @@ def put_backdated(spark, sf_dir):
   UNION ALL SELECT 'future', _id, event_type, value FROM f"""))
 def future_version(spark, sf_dir):
     table = _table(spark, sf_dir)
-    rows = dml.put(_totals(spark, sf_dir), TX_AFTER, NOW, valid_from="2024-03-01 00:00:00")
+    rows = dml.put(_totals(spark, sf_dir), TX_AFTER, NOW, valid_from="2024-03-01 00:00:00", distinct_ids=True)
     after = table.after_puts(rows)
     now = after.current(NOW).withColumn("at", F.lit("now"))
     return now.unionByName(after.as_of("2024-03-02 00:00:00").withColumn("at", F.lit("future")))
@@ -158,6 +158,29 @@ def insert_select_versions(spark, sf_dir, at="2002-01-01 00:00:00"):
     table = logs.orders_initial(spark, sf_dir).columns("o_orderstatus", "o_totalprice")
     pending = table.as_of(at).where("o_orderstatus = 'P'").withColumns({
         "o_orderstatus": F.lit("F"), "o_totalprice": F.col("o_totalprice") * 1.05})
-    log = dml.append(table.log, dml.put(pending, 2, at))
+    log = dml.append(table.log, dml.put(pending, 2, at, distinct_ids=True))
     return VersionedTable(log, open_ended=True).all_versions().select(
         ID, "o_orderstatus", "o_totalprice", VALID_FROM, VALID_TO)
+
+
+_REPEATED_SQL = """SELECT user_id AS _id, {start} AS _valid_from, {end} AS _valid_to, {tx} AS _tx,
+  row_number() OVER (PARTITION BY user_id ORDER BY {order} event_type, value NULLS FIRST) - 1 AS _seq, 'put' AS _op, event_type, value FROM events"""
+
+
+@query(f"""SELECT _id, event_type, value FROM ({_REPEATED_SQL.format(start=f"TIMESTAMP '{NOW}'", end="NULL", tx=TX_AFTER, order="")})
+  QUALIFY row_number() OVER (PARTITION BY _id ORDER BY _seq DESC) = 1""")
+def put_repeated_ids(spark, sf_dir):
+    """One transaction with many records of each id: one of them wins, whatever the order of rows."""
+    records = logs.table(spark, sf_dir, "events").select(F.col("user_id").alias(ID), "event_type", "value")
+    return VersionedTable(dml.put(records, TX_AFTER, NOW), open_ended=True).current(NOW)
+
+
+@query(f"""WITH log2 AS ({_REPEATED_SQL.format(
+    start="date_trunc('day', ts)", end="date_trunc('day', ts) + INTERVAL 2 DAY", tx=TX_AFTER, order="date_trunc('day', ts),")}),
+  {versions_ctes('log2', 'v2')} {HISTORY}""")
+def portion_split_ties(spark, sf_dir):
+    """One transaction with many records of each id for two days each, of which many start at the same instant."""
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    records = logs.table(spark, sf_dir, "events").select(
+        F.col("user_id").alias(ID), day.alias(VALID_FROM), (day + F.expr("INTERVAL 2 DAY")).alias(VALID_TO), "event_type", "value")
+    return history(VersionedTable(dml.put(records, TX_AFTER, NOW)).all_versions())
