@@ -10,7 +10,7 @@ import xxhash
 from llm_rows import ODD
 
 from tidemark.llm import simhash, substring_dedup, suffix_dedup
-from tidemark.llm.bwt_merge import repeated_intervals
+from tidemark.llm.bwt_merge import merged, repeated_intervals, transformed
 from tidemark.llm.components import components
 from tidemark.llm.fm_index import FMIndex, repeated_windows
 
@@ -121,6 +121,25 @@ def test_windows_of_random_texts(seed):
     assert sorted(map(sorted, groups.values())) == sorted(sorted(v) for v in expected.values() if len(v) > 1)
 
 
+def test_the_merge_rests_on_the_order_of_each_part():
+    rng = np.random.default_rng(6)
+    passage = rng.integers(1, 5, 200)
+    parts = [[np.concatenate([rng.integers(1, 5, 50), [side], passage, [side], rng.integers(1, 5, 50)])] for side in (6, 7)]
+    first, second = (transformed(p)[0] for p in parts)
+    rows, block = merged([first, second], 100)
+    assert len(rows) == 202 and (np.bincount(block)[1:] == 2).all()  # 101 windows, once in each part
+    assert len(merged([first, rng.permutation(second)], 100)[0]) == 0
+
+
+def test_many_documents_without_an_id(spark, make):
+    passage = " ".join(f"shared{k}" for k in range(40))
+    rows = [(None, f"{' '.join(f'a{k}x{j}' for j in range(30))} {passage} {' '.join(f'b{k}x{j}' for j in range(30))}") for k in range(150)]
+    got = substring_dedup.without_repeats(make(rows)).collect()
+    assert [(r["n_words"], r["n_removed"]) for r in got] == [(100, 40)] * 150
+    removed = sorted(r["n_removed"] for r in suffix_dedup.without_repeats(make(rows)).collect())
+    assert removed[0] == 0 and removed[1] >= len(passage) and removed.count(0) == 1
+
+
 def fingerprint(text):
     w = "".join(c.lower() if c.isascii() else c for c in text or "")
     w = WORDS.findall(w)

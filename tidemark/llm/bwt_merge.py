@@ -1,11 +1,13 @@
 """Merging Burrows-Wheeler transforms by iterative interleave refinement.
 
-Each part of a shard sorts its own suffixes once. The merged order starts as one block and is
-refined: after round h it is sorted by the first h symbols. A round walks the rows in their
-order and sends each to the bucket of the symbol before its suffix, which keeps the order
-inside a bucket; two neighbours stay in one block when they came from one block. So the rounds
-yield the interleaving and all common prefixes up to the length wanted, and no suffix of the
-whole shard is ever compared again.
+Each part of a shard sorts its own suffixes once and keeps their transform: the symbol before each
+suffix, in the order of the suffixes. Merging uses the transforms alone. The n-th occurrence of a symbol in a
+transform belongs to the n-th suffix that starts with it, which leads from a row to that of the longer
+suffix. The merged order starts as one block, the parts one after another, and is refined: after round h it
+is sorted by the first h symbols. A round walks the rows in their order and sends each to the bucket of the
+symbol before its suffix, which keeps the order inside a bucket; two neighbours stay in one block when
+they came from one block. So the rounds yield the interleaving and all common prefixes up to the length
+wanted, and no suffix of the whole shard is ever compared again.
 """
 
 from __future__ import annotations
@@ -18,58 +20,46 @@ from tidemark.llm.fm_index import suffix_order
 PART = 1 << 16
 
 
-def _part(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols (0 closes a text) laid end to end, and the order of their suffixes."""
+def transformed(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The transform of some texts, in which 0 stands for the end mark before a text, and the order of their
+    suffixes, as places in the texts laid end to end with an end mark after each."""
     lens = np.array([len(t) for t in texts])
     joined = np.zeros(int(lens.sum()) + len(texts), np.int64)
     inner = np.ones(len(joined), bool)
     ends = np.cumsum(lens + 1) - 1
     inner[ends] = False
     joined[inner] = np.concatenate(texts).astype(np.int64) + 1
-    return joined, suffix_order(joined, ends)
+    order = suffix_order(joined, ends)
+    return joined[order - 1], order
 
 
-def repeated_intervals(texts: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The suffixes whose first ``length`` symbols occur twice or more, in merged order: text,
-    offset and block. Suffixes of one block share these symbols.
+def merged(transforms: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows whose suffixes share their first ``length`` symbols with another's, in merged order, and the block
+    of each: those of one block share these symbols. Rows are counted through all transforms.
 
-    A suffix that is alone in its block stays alone however it is extended, so it leaves at once;
-    so do suffixes shorter than a round, which end in an end mark of their own.
+    A row alone in its block stays alone however its suffix is extended, so it leaves at once; so do rows
+    whose suffixes have no more symbols before them in their text.
     """
-    parts, held, size = [], [], 0
-    for t in texts:
-        held.append(t)
-        size += len(t)
-        if size >= PART:
-            parts.append(_part(held))
-            held, size = [], 0
-    if held:
-        parts.append(_part(held))
-
-    joined = np.concatenate([p[0] for p in parts])
-    ends = np.nonzero(joined == 0)[0]
-    begin = np.concatenate([[0], ends[:-1] + 1])
-    base = np.cumsum([0] + [len(p[0]) for p in parts[:-1]])
-    suffix = np.concatenate([order + b for (_, order), b in zip(parts, base)]).astype(np.int32)  # of each row, part by part
-    row = np.empty(len(suffix), np.int32)
-    row[suffix] = np.arange(len(suffix), dtype=np.int32)
+    size = sum(map(len, transforms))
+    back = np.empty(size, np.int32)  # the row of the suffix that is longer by one symbol
+    base = 0
+    for part in transforms:
+        back[base + np.argsort(part, kind="stable")] = np.arange(base, base + len(part), dtype=np.int32)
+        base += len(part)
+    symbol = np.concatenate(transforms)
+    wide = int(symbol.max()) + 1
 
     # Two symbols a round where the pairs fit 16 bits, which sort by radix.
-    dense = np.unique(joined, return_inverse=True)[1]
-    wide = int(dense.max()) + 1
     step = 2 if wide * wide <= 1 << 16 and length % 2 == 0 else 1
-    before = suffix - step
-    inside = np.zeros(len(joined), bool)  # places with a whole step before them in their text
-    inside[:] = True
-    for k in range(step):
-        inside[np.minimum(begin + k, ends)] = False
-    reaches = inside[suffix]
-    head = dense[before] * wide + dense[before + 1] if step == 2 else dense[before]
-    code = head.astype(np.uint16)  # the transform: what stands before each suffix
-    target = row[before]
+    reaches = symbol > 0
+    code = symbol
+    if step == 2:
+        reaches &= symbol[back] > 0
+        code, back = (symbol[back] * wide + symbol), back[back]
+    code = code.astype(np.uint16 if step == 2 or wide <= 1 << 16 else np.int64)
 
-    order = np.arange(len(suffix), dtype=np.int32)
-    block = np.zeros(len(suffix), np.int32)
+    order = np.arange(size, dtype=np.int32)
+    block = np.zeros(size, np.int32)
     for _ in range(length // step):
         on = reaches[order]
         order, block = order[on], block[on]
@@ -79,10 +69,32 @@ def repeated_intervals(texts: list[np.ndarray], length: int) -> tuple[np.ndarray
         new = np.ones(len(by) + 1, bool)
         new[1:-1] = (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])
         several = ~(new[:-1] & new[1:])
-        order = target[order[by[several]]]
+        order = back[order[by[several]]]
         block = np.cumsum(new[:-1], dtype=np.int32)[several]
         if not len(order):
             break
-    at = suffix[order].astype(np.int64)
-    text = np.searchsorted(ends, at)
+    return order, block
+
+
+def repeated_intervals(texts: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The suffixes whose first ``length`` symbols occur twice or more, in merged order: text,
+    offset and block. Suffixes of one block share these symbols."""
+    # Symbols dense from 1, the same in all parts.
+    lens = np.array([len(t) for t in texts])
+    values = np.unique(np.concatenate(texts), return_inverse=True)[1]
+    dense = np.split(values, np.cumsum(lens)[:-1])
+    transforms, orders, held, size = [], [], [], 0
+    for k, t in enumerate(dense):
+        held.append(t)
+        size += len(t)
+        if size >= PART or k == len(dense) - 1:
+            transform, order = transformed(held)
+            transforms.append(transform)
+            orders.append(order)
+            held, size = [], 0
+    rows, block = merged(transforms, length)
+    bases = np.cumsum([0] + [len(x) for x in orders[:-1]])
+    at = np.concatenate([order + base for order, base in zip(orders, bases)])[rows]  # only now are suffixes located
+    begin = np.cumsum(lens + 1) - lens - 1
+    text = np.searchsorted(begin, at, side="right") - 1
     return text, at - begin[text], block

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.common import texts
 from tidemark.llm.wordcodes import kept_codes
 
+_SHORT = [struct.Struct(f"<{n}I") for n in range(1, 17)]
+
 
 @dataclass(frozen=True)
 class Packing:
@@ -50,8 +52,9 @@ class Piece:
     offset: int
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+def _packed(ids: Sequence[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    return np.array(ids, "<u4").tobytes() if len(ids) > len(_SHORT) else _SHORT[len(ids) - 1].pack(*ids) if ids else b""
 
 
 def fill(lengths: list[int], capacity: np.ndarray, packing: Packing) -> list[Piece]:

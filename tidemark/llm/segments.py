@@ -154,11 +154,18 @@ def places(tag: np.ndarray, start: np.ndarray, windows: np.ndarray, own: np.ndar
 
 
 def _tagged(docs: DataFrame) -> DataFrame:
-    """``tag`` tells apart different texts given under one id; equal rows count as one document.
-    ``row`` holds the whole row."""
+    """``tag`` tells apart different texts given under one id, ``mark`` those without any; equal rows count as
+    one document. ``row`` holds the whole row."""
     row = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("row")
-    return texts(docs.select(row, docs["doc_id"], docs["text"]), "row").withColumn(
-        "tag", F.xxhash64("text").bitwiseAND(F.lit((1 << 23) - 1)))
+    return texts(docs.select(row, docs["doc_id"], docs["text"]), "row").withColumns({
+        "tag": F.xxhash64("text").bitwiseAND(F.lit((1 << 23) - 1)),
+        # As many documents as one likes may have no id, so these need all bits of a hash of their own.
+        "mark": F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(1), "text")).otherwise(F.lit(0).cast("long"))})
+
+
+def _of_one_document(rows: DataFrame, found: DataFrame) -> Column:
+    """Join of rows with what was ``found`` of them, by id, mark and tag."""
+    return rows["doc_id"].eqNullSafe(found["of"]) & (rows["mark"] == found["of_mark"]) & (rows["tag"] == found["of_tag"])
 
 
 def _occurrences(rows: DataFrame, alphabet: Alphabet, shape: Shape) -> DataFrame:
@@ -174,8 +181,9 @@ def _occurrences(rows: DataFrame, alphabet: Alphabet, shape: Shape) -> DataFrame
         doc = row[part]
         place = places(batch.column("tag").to_numpy()[doc], starts - (tops - lens)[part] + offset[part], counts, own)
         return pa.RecordBatch.from_arrays(
-            [pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), batch.column("doc_id").take(pa.array(doc)), pa.array(place)],
-            ["anchor", "segment", "doc_id", "place"])
+            [pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), batch.column("doc_id").take(pa.array(doc)),
+             batch.column("mark").take(pa.array(doc)), pa.array(place)],
+            ["anchor", "segment", "doc_id", "mark", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +200,7 @@ def _occurrences(rows: DataFrame, alphabet: Alphabet, shape: Shape) -> DataFrame
             if parts:
                 yield found(batch, parts)
 
-    return rows.mapInArrow(run, f"anchor long, segment long, doc_id {id_type}, place long")
+    return rows.mapInArrow(run, f"anchor long, segment long, doc_id {id_type}, mark long, place long")
 
 
 #: Of one shard: texts, windows of each, whether each has several copies, and the rank of its
@@ -204,17 +212,17 @@ def _shards(work: ShardWork, shape: Shape, dtype: str):
     def solve(rows: pa.Table) -> pa.RecordBatch:
         place = rows.column("place").to_numpy()
         texts_ = [np.frombuffer(x, dtype) for x in rows.column("symbols").to_pylist()]
-        keys = pa.table({"d": rows.column("doc_id"), "t": pa.array(place >> 40)})
+        keys = pa.table({"d": rows.column("doc_id"), "m": rows.column("mark"), "t": pa.array(place >> 40)})
         ranks = np.zeros(len(place), np.int64)
-        by = pc.sort_indices(keys, sort_keys=[("d", "ascending"), ("t", "ascending")], null_placement="at_start").to_numpy()
+        by = pc.sort_indices(keys, sort_keys=[("d", "ascending"), ("m", "ascending"), ("t", "ascending")], null_placement="at_start").to_numpy()
         docs = keys.take(pa.array(by))
         change = np.zeros(len(by), np.int64)
         if len(by) > 1:
             d = docs.column("d").combine_chunks()
             same = pc.fill_null(pc.equal(d[1:], d[:-1]), False).to_numpy(zero_copy_only=False)
             nulls = d.is_null().to_numpy(zero_copy_only=False)
-            t = docs.column("t").to_numpy()
-            change[1:] = ~((same | (nulls[1:] & nulls[:-1])) & (t[1:] == t[:-1]))
+            m, t = docs.column("m").to_numpy(), docs.column("t").to_numpy()
+            change[1:] = ~((same | (nulls[1:] & nulls[:-1])) & (m[1:] == m[:-1]) & (t[1:] == t[:-1]))
         ranks[by] = np.cumsum(change)
         copies = rows.column("copies").to_numpy()
         bits = work(texts_, place >> 1 & 127, copies, ranks, place >> 8 & 0xFFFFFFFF)
@@ -251,10 +259,10 @@ def _shards(work: ShardWork, shape: Shape, dtype: str):
 
 def _fetch(rows: DataFrame, need: DataFrame, alphabet: Alphabet, shape: Shape) -> DataFrame:
     """The symbols of the first occurrence of each needed segment, from the texts."""
-    wanted = need.groupBy(F.col("first.doc_id").alias("of")).agg(
+    wanted = need.groupBy(F.col("first.doc_id").alias("of"), F.col("first.mark").alias("of_mark"), F.shiftright("first.place", 40).alias("of_tag")).agg(
         F.collect_list(F.struct("anchor", "segment", "copies", F.col("first.place").alias("place"))).alias("wanted"))
     id_type, length = rows.schema["doc_id"].dataType.simpleString(), shape.length
-    names = ["anchor", "segment", "copies", "doc_id", "place", "symbols"]
+    names = ["anchor", "segment", "copies", "doc_id", "mark", "place", "symbols"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,14 +270,12 @@ def _fetch(rows: DataFrame, need: DataFrame, alphabet: Alphabet, shape: Shape) -
             for k in range(batch.num_rows):
                 want = batch.column("wanted").slice(k, 1).flatten()
                 place = want.field("place").to_numpy()
-                mine = place >> 40 == batch.column("tag")[k].as_py()
-                want, place = want.filter(pa.array(mine)), place[mine]
                 values = alphabet.split(batch.column("text")[k].as_py())
                 start, windows = place >> 8 & 0xFFFFFFFF, place >> 1 & 127
                 cut = [values[s:s + m + length - 1].tobytes() for s, m in zip(start.tolist(), windows.tolist())]
-                doc = batch.column("doc_id").take(pa.array(np.full(len(cut), k)))
+                doc, mark = (batch.column(c).take(pa.array(np.full(len(cut), k))) for c in ("doc_id", "mark"))
                 held.append(pa.RecordBatch.from_arrays(
-                    [want.field("anchor"), want.field("segment"), want.field("copies"), doc, want.field("place"), pa.array(cut, pa.binary())], names))
+                    [want.field("anchor"), want.field("segment"), want.field("copies"), doc, mark, want.field("place"), pa.array(cut, pa.binary())], names))
                 size += sum(map(len, cut))
                 if size > 1 << 23:
                     yield from pa.Table.from_batches(held).combine_chunks().to_batches()
@@ -277,8 +283,8 @@ def _fetch(rows: DataFrame, need: DataFrame, alphabet: Alphabet, shape: Shape) -
             if held:
                 yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-    return rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["of"])).select("doc_id", "text", "tag", "wanted").mapInArrow(
-        run, f"anchor long, segment long, copies boolean, doc_id {id_type}, place long, symbols binary")
+    return rows.join(wanted, _of_one_document(rows, wanted)).select("doc_id", "mark", "text", "wanted").mapInArrow(
+        run, f"anchor long, segment long, copies boolean, doc_id {id_type}, mark long, place long, symbols binary")
 
 
 def repeats(docs: DataFrame, alphabet: Alphabet, shape: Shape, work: ShardWork, others_only: bool) -> DataFrame:
@@ -288,7 +294,7 @@ def repeats(docs: DataFrame, alphabet: Alphabet, shape: Shape, work: ShardWork,
     repeats; otherwise every occurrence of a segment with several copies is a repeat.
     """
     whole_rows = _tagged(docs)
-    rows = whole_rows.select("doc_id", "text", "tag")
+    rows = whole_rows.select("doc_id", "text", "tag", "mark")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     # 1. Anchors that can repeat, and the occurrences of their segments.
@@ -297,7 +303,7 @@ def repeats(docs: DataFrame, alphabet: Alphabet, shape: Shape, work: ShardWork,
     occurrences = settled(_occurrences(rows, alphabet, shape).join(met, "anchor", "left_semi"))
 
     # 2. Different segments, and the anchors that have several.
-    spot = F.struct("doc_id", "place")
+    spot = F.struct("doc_id", "mark", "place")
     distinct = settled(occurrences.groupBy("anchor", "segment").agg(F.min(spot).alias("first"), F.max(spot).alias("last"))
                        .select("anchor", "segment", "first", (F.col("first") != F.col("last")).alias("copies")))
     wide = distinct.groupBy(F.col("anchor").alias("of")).agg(
@@ -315,12 +321,12 @@ def repeats(docs: DataFrame, alphabet: Alphabet, shape: Shape, work: ShardWork,
     # 4. Occurrences of repeated windows, gathered per document.
     known = distinct.join(bits, ["anchor", "segment"], "left").select(
         "anchor", "segment", "first", "copies", F.coalesce("bits", F.lit(0)).alias("bits")).where("copies or bits <> 0")
-    at_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place"))
+    at_first = F.struct("doc_id", "mark", "place") == F.col("first")  # nulls in a struct are equal
     whole: Column = ~at_first if others_only else F.col("copies")
     found = occurrences.join(known, ["anchor", "segment"]).select(
-        F.col("doc_id").alias("of"), "place", F.when(whole, F.lit(-1).cast("long")).otherwise(F.col("bits")).alias("bits"))
-    per_doc = found.where("bits <> 0").groupBy("of").agg(F.collect_list(F.struct("place", "bits")).alias("found"))
-    return whole_rows.join(per_doc, whole_rows["doc_id"].eqNullSafe(per_doc["of"]), "left").select("row", "doc_id", "text", "tag", "found")
+        F.col("doc_id").alias("of"), F.col("mark").alias("of_mark"), F.shiftright("place", 40).alias("of_tag"), "place", F.when(whole, F.lit(-1).cast("long")).otherwise(F.col("bits")).alias("bits"))
+    per_doc = found.where("bits <> 0").groupBy("of", "of_mark", "of_tag").agg(F.collect_list(F.struct("place", "bits")).alias("found"))
+    return whole_rows.join(per_doc, _of_one_document(whole_rows, per_doc), "left").select("row", "doc_id", "text", "tag", "found")
 
 
 def _dense(fetched: DataFrame, dtype: str, shape: Shape, id_type: str, others_only: bool) -> DataFrame:
@@ -336,14 +342,14 @@ def _dense(fetched: DataFrame, dtype: str, shape: Shape, id_type: str, others_on
                 place = batch.column("place")[k].as_py()
                 hashes = np.frombuffer(b"".join(xxhash.xxh128_digest(p) for p in parts), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("anchor").take(row), batch.column("segment").take(row), batch.column("doc_id").take(row),
+                    [batch.column("anchor").take(row), batch.column("segment").take(row), batch.column("doc_id").take(row), batch.column("mark").take(row),
                      pa.array(np.arange(len(parts)) + (place >> 8)), pa.array(np.arange(len(parts))),
                      pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), batch.column("copies").take(row)],
-                    ["anchor", "segment", "doc_id", "at", "j", "h1", "h2", "copies"])
+                    ["anchor", "segment", "doc_id", "mark", "at", "j", "h1", "h2", "copies"])
 
     seen = fetched.mapInArrow(
-        windows, f"anchor long, segment long, doc_id {id_type}, at long, j long, h1 long, h2 long, copies boolean").withColumn(
-        "spot", F.struct("doc_id", "at"))
+        windows, f"anchor long, segment long, doc_id {id_type}, mark long, at long, j long, h1 long, h2 long, copies boolean").withColumn(
+        "spot", F.struct("doc_id", "mark", "at"))
     first = seen.groupBy("h1", "h2").agg(F.min("spot").alias("lo"), F.max("spot").alias("hi"))
     again = F.col("spot") != F.col("lo") if others_only else F.col("lo") != F.col("hi")
     return seen.join(first, ["h1", "h2"]).where(again).groupBy("anchor", "segment").agg(

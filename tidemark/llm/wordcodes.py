@@ -21,7 +21,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 #: Signs that follow a word and are a part of their own.
-_MARKS = frozenset(".,;:!?")
+_MARKS = frozenset(b".,;:!?")
 
 
 class Recent(dict):
@@ -49,7 +49,8 @@ class WordCodes(Recent):
     """word (bytes without ASCII white space) -> what ``keep`` makes of its token ids."""
 
     def __init__(self, path: str, keep, limit: int) -> None:
-        super().__init__(lambda word: keep(self.ids(word)), limit)
+        super().__init__(lambda word: keep(ids(word)), limit)
+        ids = self.ids
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
@@ -67,22 +68,26 @@ class WordCodes(Recent):
         split = [p.get("pattern", {}).get("Regex", "") for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
         return regex.compile(split[0]) if kinds == ["NFC", "Replace", "Lowercase"] and split and split[0] else None
 
-    def _part(self, part: str) -> tuple[int, ...]:
-        mapped = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+    def _part(self, part: bytes) -> tuple[int, ...]:
+        mapped = part.decode() if part.isascii() else part.decode("latin-1").translate(self.letters)
         return tuple([t.id for t in self.model.tokenize(mapped)])
 
     def ids(self, word: bytes) -> tuple[int, ...]:
         """Printable Latin words are their own normal forms; their parts go to the model directly.
         All else, and what may hold a special token, goes through the whole tokenizer."""
-        text = word.decode()
-        if self.split and (word.isascii() or max(text) < "Ā") and text.isprintable() and b"<|" not in word:
-            low = text.lower()
-            if low.isalpha():
+        if self.split:
+            low = word.lower()
+            if low.isalpha():  # of bytes: ASCII letters only
                 return self.parts[low]
             if low[-1] in _MARKS and low[:-1].isalpha():
-                return self.parts[low[:-1]] + self.parts[low[-1]]
-            return tuple([k for part in self.split.findall(low) for k in self.parts[part]])
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
+                return self.parts[low[:-1]] + self.parts[low[-1:]]
+            text = word.decode()
+            if (word.isascii() or max(text) < "Ā") and text.isprintable() and b"<|" not in word:
+                low = text.lower()
+                if low.isalpha():
+                    return self.parts[low.encode()]
+                return tuple([k for part in self.split.findall(low) for k in self.parts[part.encode()]])
+        return tuple(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
 
 
 @lru_cache(4)
