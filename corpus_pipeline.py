@@ -19,7 +19,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go: also those with a null or empty text. Repeated rows are
+    judged one by one; an empty table stays empty."""
     return quality_rules.keep(docs).select(*COLUMNS)
 
 
@@ -29,8 +30,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without an id cannot be named by a component; they stay.
     """
     found = simhash.near_duplicates(docs, shingle=3, limit=2)
-    lost = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_lost"))
-    return docs.join(lost, F.col("doc_id") == F.col("_lost"), "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    lost = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_lost")).distinct()
+    left = docs.join(lost, F.col("doc_id") == F.col("_lost"), "left_anti").withColumn("_same", F.md5("text"))
+    return left.dropDuplicates(["doc_id", "_same"]).select(*COLUMNS)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,13 +51,15 @@ def _with_text(rows: DataFrame, text: Column) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every secret found is masked."""
+    """Every secret found is masked. Null and empty texts stay as they are, repeated rows get the same mask, an
+    empty table stays empty."""
     row = F.struct(*[docs[c] for c in COLUMNS]).alias("row")
     return _with_text(secrets.masked(docs.select(row, docs["text"].alias("text"))), F.col("text"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 4,096 ids, by piece."""
+    """Sequences of 4,096 ids, by piece. A null or empty text is its end id alone; repeated rows are packed one
+    by one; an empty table gives no piece."""
     return packing.pack(docs, packing.Packing(public_tokenizers.path("word_bpe_49k.json")))
 
 
