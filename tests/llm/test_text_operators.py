@@ -326,14 +326,41 @@ def test_fingerprints_of_odd_rows(make):
     assert (alone["near_next"], alone["edited_sha256"]) == (1.0, digest("onlyonly"))
 
 
-def test_a_small_sketch_is_retried_larger(spark, make):
-    """With hardly any room the first tries get stuck; the difference is still whole."""
+def test_likeness_follows_from_the_returned_sketches(spark, make):
+    """``near_next`` again, from the two texts' fingerprint columns and nothing else."""
+    from pyspark.sql import Window, functions as F
+
+    rows = given(spark, 60)
+    got = fingerprints.versions(make(rows), 3)
+    none = F.array().cast("array<bigint>")
+    pairs = got.withColumn("after", F.lead("fingerprint").over(Window.orderBy("doc_id"))).where("after is not null")
+    again = pairs.select("near_next", fingerprints.read(F.col("fingerprint")).alias("a"), fingerprints.read(F.col("after")).alias("b")).select(
+        "near_next", fingerprints.difference(F.col("a"), F.col("b")).alias("d"), fingerprints.likeness(F.col("a"), F.col("b"), none, none).alias("near")).collect()
+    assert len(again) == len(rows) - 1 and all(r["d"] is not None and r["near"] == r["near_next"] for r in again)
+
+
+def test_a_stuck_difference_goes_to_the_larger_sketches(spark, make):
+    """Sketches of very different widths: the narrow one has no room for the difference."""
     from pyspark.sql import functions as F
 
-    rows = [(k, "\n".join(f"line {k} {i}" for i in range(40))) for k in range(6)]
-    keys = make(rows).select("doc_id", fingerprints.digests(F.col("text")).alias("k"))
-    width = F.lit(4).cast("long")
-    stuck = keys.select(fingerprints.peeled(fingerprints.subtracted(F.col("k"), F.array().cast("array<bigint>"), width, F.lit(0)), width, F.lit(0)).alias("d"))
-    assert stuck.where("d is not null").count() == 0
-    whole = keys.select(fingerprints.difference(F.col("k"), F.array().cast("array<bigint>")).alias("d"), "k")
-    assert whole.where("array_sort(d.more) = array_sort(k) and size(d.less) = 0").count() == 6
+    rows = [(k, "\n".join(f"line {k} {i}" for i in range(300 + 40 * k))) for k in range(6)]
+    keys = make(rows).select(fingerprints.digests(F.col("text")).alias("k"))
+    both = keys.select("k", F.slice("k", 1, 3).alias("few")).select(
+        "k", "few", fingerprints.sketch(F.col("k")).alias("a"), fingerprints.sketch(F.col("few")).alias("b")).where("a.width > 8 * b.width")
+    narrow = F.col("b.width")
+    assert both.where(fingerprints.peeled(fingerprints.subtracted(F.col("a"), F.col("b"), narrow), narrow).isNotNull()).count() == 0
+    whole = both.select(fingerprints.difference(F.col("a"), F.col("b")).alias("d"), "k", "few")
+    assert whole.where("size(d.less) = 0 and array_sort(d.more) = array_sort(array_except(k, few))").count() == 6
+    # Sketches that cannot be peeled at all: the digests count.
+    torn = both.select(fingerprints.likeness(F.struct(F.col("a.width"), F.col("a.n"), F.slice("a.cells", 1, 9).alias("cells")), F.col("b"), F.col("k"), F.col("few")).alias("near"), "k")
+    assert all(r["near"] == pytest.approx(1 - (len(r["k"]) - 3) / (len(r["k"]) + 3)) for r in torn.collect())
+
+
+def test_fingerprints_with_text_ids(spark):
+    rows = [("b", "one\ntwo"), ("a", "one\nthree"), ("c", "x"), (None, "one\ntwo")] + [(f"k{k:03}", f"text {k}") for k in range(50)]
+    got = {r["doc_id"]: r for r in fingerprints.versions(spark.createDataFrame(rows, "doc_id string, text string"), 4).collect()}
+    by = sorted(rows, key=lambda r: (r[0] is not None, r[0] or ""))
+    for (d, text), (_, after) in zip(by, by[1:] + by[:1]):
+        half = len(text) // 2
+        assert got[d]["edited_sha256"] == digest(text[:len(text) - half] + after[:half])
+        assert got[d]["near_next"] == pytest.approx(alike(text, after))
