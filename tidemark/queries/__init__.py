@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("basics", "joins", "aggregates", "values", "temporal", "writes", "business", "changes")
+MODULES = ("basics", "joins", "aggregates", "values", "temporal", "writes", "business", "changes", "loading")
 
 
 def all_queries() -> dict:

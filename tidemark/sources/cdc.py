@@ -50,8 +50,8 @@ def in_order(events: DataFrame) -> DataFrame:
         F.row_number().over(Window.orderBy(*PLACE)).alias("_rank"))
     numbered = events.withColumn("_number", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     same = [F.col(c).eqNullSafe(F.col(f"{c}_of")) for c in PLACE]
-    # Broadcast: one row per block of input read, far fewer than events.
-    found = numbered.join(F.broadcast(blocks), same[0] & same[1] & same[2])
+    # One row per block of input read; the sizes measured decide how they are joined.
+    found = numbered.join(blocks, same[0] & same[1] & same[2])
     return found.withColumn("_position", F.shiftleft(F.col("_rank").cast("bigint"), 33) + F.col("_number")).drop(
         *PLACE, *[f"{c}_of" for c in PLACE], "_rank", "_number")
 
