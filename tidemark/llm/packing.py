@@ -38,7 +38,7 @@ class Packing:
     linear: float = 1.0
     quadratic: float = 1.0 / 4096
     block: int = 256
-    words: int = 400_000
+    words: int = 1_000_000
 
 
 @dataclass
