@@ -305,10 +305,10 @@ def test_many_databases(spark, tmp_path):
 
 
 def test_columnar_hand_off(spark):
-    df = spark.createDataFrame([(1, "Widget", 19.99)], "_id int, name string, price double")
+    df = spark.createDataFrame([(1, "Anchor", 12.5)], "_id int, name string, price double")
     table = df.toArrow()
     assert table.column_names == ["_id", "name", "price"] and table.num_rows == 1
-    assert df.toPandas()["price"].tolist() == [19.99]
+    assert df.toPandas()["price"].tolist() == [12.5]
 
 
 def test_nested_round_trip(spark, tmp_path):

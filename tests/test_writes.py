@@ -24,17 +24,17 @@ def rows(df, *columns):
 
 
 def test_update_makes_a_second_version(spark):
-    log = dml.put(products(spark, (1, "Widget", 19.99)), 1, day(1))
-    change = dml.update(log, {"price": F.lit(24.99)}, 2, day(2), F.col("_id") == 1, open_ended=True)
+    log = dml.put(products(spark, (1, "Anchor", 12.5)), 1, day(1))
+    change = dml.update(log, {"price": F.lit(14.25)}, 2, day(2), F.col("_id") == 1, open_ended=True)
     table = VersionedTable(dml.append(log, change), open_ended=True)
-    assert rows(table.current(day(3)), "name", "price") == [("Widget", 24.99)]
+    assert rows(table.current(day(3)), "name", "price") == [("Anchor", 14.25)]
     assert rows(table.all_versions(), "price", "_valid_from", "_valid_to") == [
-        (19.99, day(1), day(2)), (24.99, day(2), None)]
+        (12.5, day(1), day(2)), (14.25, day(2), None)]
     assert travel.hide_temporal(table.all_versions()).columns == ["_id", "name", "price"]
 
 
 def test_update_splits_bounded_portion(spark):
-    log = dml.put(products(spark, (1, "Widget", 10.0)), 1, day(1))
+    log = dml.put(products(spark, (1, "Anchor", 10.0)), 1, day(1))
     change = dml.update(log, {"price": F.col("price") * 2}, 2, day(5), until=day(8))
     got = rows(VersionedTable(dml.append(log, change)).all_versions(),
                "_valid_from", "_valid_to", "price")
