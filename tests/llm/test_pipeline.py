@@ -84,5 +84,5 @@ def test_a_clean_document_passes_all_stages(spark, make):
 def test_queries_are_registered(spark):
     sys.path.insert(0, corpus_pipeline.__file__.rsplit("/", 1)[0])
     entry = importlib.import_module("__spark_entry__")
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
