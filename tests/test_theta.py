@@ -62,3 +62,15 @@ def test_few_matches_of_large_sides_and_no_product(spark):
     text = joined._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in text and "Cartesian" not in text
     assert joined.count() == sum(range(10))
+
+
+@pytest.mark.parametrize("few, many", [(500, 10_000), (10_000, 500)])
+def test_many_pairs_are_stored_in_few_bytes(spark, tmp_path, few, many):
+    """The result is larger than the input by far, so its order must let files repeat themselves."""
+    left = spark.range(few).selectExpr("pmod(xxhash64(id), 1000003) AS a", "pmod(hash(id), 1000) AS x")
+    right = spark.range(many).selectExpr("pmod(xxhash64(id, 1), 1000003) AS b", "pmod(hash(id, 1), 1000) AS y")
+    path = tmp_path / "pairs"
+    theta_join(left, "<", right, "x", "y", 256).write.parquet(str(path))
+    pairs = spark.read.parquet(str(path)).count()
+    assert pairs == left.join(right, left.x < right.y).count()
+    assert sum(f.stat().st_size for f in path.glob("*.parquet")) < 0.8 * pairs
