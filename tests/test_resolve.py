@@ -5,7 +5,10 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from tidemark.operators import reports
+from tidemark.operators.travel import VersionedTable
 from tidemark.plans import resolve
+from tidemark.plans.skew import profile
 
 EPOCH = datetime(2024, 1, 1)
 SCHEMA = (
@@ -105,3 +108,45 @@ def test_zoned_timestamps_resolve_too(spark):
     got = resolve.versions(zoned, rows_per_task=15)
     back = got.withColumns({c: got[c].cast("timestamp_ntz") for c in ("_valid_from", "_valid_to")})
     assert result(back) == replay(rows, 150)
+
+
+@pytest.mark.parametrize("limit", [None, 10])
+@pytest.mark.parametrize("bounded", [False, True])
+def test_sets_of_instants_match_reads_at_each(spark, limit, bounded):
+    log = frame(spark, random_log(13, list("abcdef"), 200, 200, bounded))
+    instants = [at(m) for m in (150, 20, 100, 199, -5)]
+    sets = resolve.as_of_sets(log, instants, profile(log, limit)).collect()
+    each = resolve.as_of_each(log, instants).collect()
+    assert sorted((r["_id"], instants[k], r["v"]) for r in sets for k in range(5) if r["_at"] >> k & 1) == sorted(
+        (r["_id"], r["as_of"], r["v"]) for r in each)
+    assert limit or len({(r["_id"], r["v"]) for r in sets}) == len(sets)
+
+
+def trend_tables(spark):
+    """Customers, orders and lines that come and go; some orders change hands, some lines have no order."""
+    made = {
+        "c": (40, ["k % 40 AS c_custkey"]),
+        "o": (90, ["k % 90 AS o_orderkey", "k % 50 AS o_custkey"]),
+        "l": (300, ["if(k % 31 = 0, null, k % 95) AS l_orderkey", "CAST(k AS double) AS l_extendedprice", "0.05D AS l_discount"])}
+    return [VersionedTable(spark.range(2 * n).withColumnRenamed("id", "k").selectExpr(
+        f"k % {n} AS _id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, CAST(k % 40 AS int)) AS _valid_from",
+        "if(k % 7 = 0, timestamp_ntz'2024-02-01 00:00:00', null) AS _valid_to", "k AS _tx", "0L AS _seq",
+        "timestamp_ntz'2024-01-01 00:00:00' AS _system_from", "if(k % 11 = 0, 'delete', 'put') AS _op", *columns)) for n, columns in made.values()]
+
+
+def test_a_trend_shuffles_a_write_once(spark):
+    tables = trend_tables(spark)
+    days = ["2024-01-10 00:00:00", "2024-01-25 00:00:00", "2024-02-20 00:00:00"]
+    got = reports.billing_trend(*tables, [*days, "2024-01-10", "2023-01-01"])
+    expected = []
+    for day in days:
+        c, o, lines = (t.as_of(day) for t in tables)
+        held = o.join(c, o.o_custkey == c.c_custkey, "left_semi")
+        sold = lines.join(held, lines.l_orderkey == held.o_orderkey, "left_semi").collect()
+        expected.append((c.count(), held.count(), len(sold), round(sum(r["l_extendedprice"] * 0.95 for r in sold), 2)))
+    found = sorted(got.collect(), key=lambda r: r["as_of"])
+    assert [str(r["as_of"]) for r in found] == days
+    assert [(r["customers"], r["order_count"], r["line_item_count"], r["total_revenue"]) for r in found] == expected
+    # Rows are dealt to instants once they are totals, so below the first shuffle of a write there is no copying.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.columns import ID, VALID_FROM, VALID_TO
+from tidemark.columns import ID, VALID_FROM, VALID_TO, instant_literal, instant_type
 from tidemark.operators import dml
 from tidemark.operators.travel import VersionedTable, with_status
 
 
 MILLION = 1_000_000
+#: Instants of a trend that one pass tells apart.
+TOGETHER = 48
 
 
 def millionths(column: Column) -> Column:
@@ -115,24 +118,30 @@ def billing_trend(
 ) -> DataFrame:
     """The billing totals of the whole book at several instants, in one job.
 
-    Each table is read once, limited to one write per id and instant.  Totals shrink to one row per order, then per
-    customer, before each join.
+    Rows travel with the set of instants they are valid at, not once for each. Totals shrink to one row per order
+    and set, then per customer and set, before each join; sets are intersected by joins and told apart at the end.
     """
-    buyers = customer.columns("c_custkey").as_of_each(instants).select(
-        F.col("as_of").alias("_buyer_at"), "c_custkey")
-    placed = orders.columns("o_orderkey", "o_custkey").as_of_each(instants)
-    sold = lineitem.columns("l_orderkey", "l_extendedprice", "l_discount").as_of_each(instants)
-    lines = _line_totals(sold, ["as_of", "l_orderkey"]).withColumnRenamed("as_of", "_line_at")
-    per_order = placed.withColumn("_orders", F.lit(1)).join(
-        lines,
-        (F.col("as_of") == F.col("_line_at")) & (F.col("o_orderkey") == F.col("l_orderkey")),
-        "left")
-    per_customer = _add_up(per_order, ["as_of", "o_custkey"]).join(
-        buyers,
-        (F.col("as_of") == F.col("_buyer_at")) & (F.col("o_custkey") == F.col("c_custkey")),
-        "left_semi")
-    totals = _add_up(per_customer, ["as_of"])
-    customers = buyers.groupBy("_buyer_at").agg(F.count("*").alias("customers"))
+    moments = list(dict.fromkeys(instants))
+    if len(moments) > TOGETHER:
+        parts = [billing_trend(customer, orders, lineitem, moments[k:k + TOGETHER]) for k in range(0, len(moments), TOGETHER)]
+        return reduce(DataFrame.unionByName, parts).dropDuplicates(["as_of"])
+    kind = instant_type(customer.log)
+    bits = [F.when(F.col("_at").bitwiseAND(F.lit(1 << k)) != 0, instant_literal(t, kind)) for k, t in enumerate(moments)]
+    as_of = F.explode(F.array_distinct(F.array_compact(F.array(*bits)))).alias("as_of")
+    buyers = customer.columns("c_custkey").as_of_sets(moments).select("_at", "c_custkey")
+    placed = orders.columns("o_orderkey", "o_custkey").as_of_sets(moments).select("_at", "o_orderkey", "o_custkey")
+    sold = lineitem.columns("l_orderkey", "l_extendedprice", "l_discount").as_of_sets(moments)
+    lines = _line_totals(sold, ["_at", "l_orderkey"]).withColumnRenamed("_at", "_line_at")
+    both = placed.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).withColumn(
+        "_at", F.col("_at").bitwiseAND(F.col("_line_at"))).where("_at != 0")
+    facts = placed.select("_at", "o_custkey", F.lit(1).alias("_orders")).unionByName(
+        both.select("_at", "o_custkey", *[t for t in _TOTALS if t != "_orders"]), allowMissingColumns=True)
+    known = buyers.groupBy("c_custkey").agg(F.bit_or("_at").alias("_buyer_at"))
+    per_customer = _add_up(facts, ["_at", "o_custkey"]).join(known, F.col("o_custkey") == F.col("c_custkey")).withColumn(
+        "_at", F.col("_at").bitwiseAND(F.col("_buyer_at")))
+    totals = _add_up(_add_up(per_customer, ["_at"]).select(as_of, *_TOTALS), ["as_of"])
+    customers = buyers.groupBy("_at").agg(F.count("*").alias("customers")).select(as_of, "customers").groupBy(
+        F.col("as_of").alias("_buyer_at")).agg(F.sum("customers").alias("customers"))
     return customers.join(totals, F.col("_buyer_at") == F.col("as_of"), "left").select(
         F.col("_buyer_at").alias("as_of"), "customers", *_billing_columns())
 

@@ -126,6 +126,10 @@ class VersionedTable:
         """Rows valid at each of the instants, in one pass; ``as_of`` names the instant."""
         return resolve.as_of_each(self.visible(), instants)
 
+    def as_of_sets(self, instants: Sequence) -> DataFrame:
+        """Rows valid at some of the instants, once for each write; bit k of ``_at`` stands for instant k."""
+        return resolve.as_of_sets(self.visible(), instants, self.profiled().prof)
+
     def current(self, now=None) -> DataFrame:
         """Rows valid now.  ``now=None`` takes the session's clock."""
         return self.as_of(F.current_timestamp() if now is None else now)

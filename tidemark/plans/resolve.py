@@ -63,6 +63,34 @@ def as_of_each(log: DataFrame, instants, name: str = "as_of") -> DataFrame:
     return winner.where(F.col(OP) == PUT).select(ID, name, *payload_columns(log))
 
 
+def as_of_sets(log: DataFrame, instants, prof: KeyProfile, name: str = "_at") -> DataFrame:
+    """Writes valid at some of several instants, once each; bit k of ``name`` stands for instant k.
+
+    A write has the instants it covers less those that later writes of its id cover, so it is shuffled once,
+    not once for each instant. Ids that are large by ``prof`` are limited below the shuffle as in ``as_of_each``.
+    """
+    if len(instants) > 62:
+        raise ValueError("more than 62 instants")
+    kind = instant_type(log)
+    covered = F.lit(0).cast("bigint")
+    for k, instant in enumerate(instants):
+        at = instant_literal(instant, kind)
+        covers = (F.col(VALID_FROM) <= at) & (F.col(VALID_TO).isNull() | (F.col(VALID_TO) > at))
+        covered = covered.bitwiseOR(F.when(covers, F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint"))
+    reaching = valid_periods(log).withColumn(name, covered).where(F.col(name) != 0).select(ID, *ORDER, OP, name, *payload_columns(log))
+    columns = [ID, name, *payload_columns(log)]
+    newest = [F.desc(c) for c in ORDER]
+    later = F.bit_or(name).over(Window.partitionBy(ID).orderBy(*newest).rowsBetween(Window.unboundedPreceding, -1))
+    left = F.col(name).bitwiseAND(F.bitwise_not(F.coalesce(later, F.lit(0).cast("bigint"))))
+    found = prof.cold(reaching).withColumn(name, left).where((F.col(name) != 0) & (F.col(OP) == PUT)).select(*columns)
+    if prof.hot:
+        bits = F.filter(F.lit([1 << k for k in range(len(instants))]).cast("array<bigint>"), lambda b: b.bitwiseAND(F.col("_all")) != 0)
+        each = prof.heated(reaching).withColumnRenamed(name, "_all").withColumn(name, F.explode(bits)).drop("_all")
+        first = each.withColumn("_rank", F.row_number().over(Window.partitionBy(ID, name).orderBy(*newest))).where("_rank = 1")
+        found = found.unionByName(first.where(F.col(OP) == PUT).select(*columns))
+    return found
+
+
 def versions(
     log: DataFrame,
     open_ended: bool = False,
