@@ -3,11 +3,12 @@
 import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 
 from tidemark.operators import reports
 from tidemark.operators.travel import VersionedTable
-from tidemark.plans import resolve
+from tidemark.plans import resolve, sweep
 from tidemark.plans.skew import profile
 
 EPOCH = datetime(2024, 1, 1)
@@ -150,3 +151,15 @@ def test_a_trend_shuffles_a_write_once(spark):
     # Rows are dealt to instants once they are totals, so below the first shuffle of a write there is no copying.
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate explode") == 2
+
+
+def test_a_worker_resolves_few_rows_at_once():
+    """What a worker holds does not grow with the rows of its task."""
+    n = 100_000
+    moment = pa.array([0] * n, pa.timestamp("us"))
+    rows = pa.table({
+        "_id": pa.array(range(n)), "_valid_from": moment, "_valid_to": pa.array([1] * n, pa.timestamp("us")),
+        "_tx": pa.array([1] * n), "_seq": pa.array([0] * n), "_put": pa.array([True] * n)})
+    found = list(sweep.resolver(rows.column_names, ["_id"])(iter(rows.to_batches(max_chunksize=10_000))))
+    assert sum(b.num_rows for b in found) == n
+    assert max(b.num_rows for b in found) <= 50_000

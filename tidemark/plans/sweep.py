@@ -25,8 +25,8 @@ def _instant_array(values, arrow_type) -> pa.Array:
     return pa.array(ints, mask=ints == OPEN).cast(arrow_type)
 
 
-#: Rows resolved together, but for a group that has more.
-BATCH = 1 << 18
+#: Rows resolved together, but for a group that has more. What a worker holds follows from this, not from its task.
+BATCH = 1 << 15
 
 
 def resolver(columns: list[str], group: list[str]):
