@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from llm_rows import ODD
 
-from tidemark.llm import simhash, substring_dedup, suffix_dedup
+from tidemark.llm import fm_index, simhash, substring_dedup, suffix_dedup
 from tidemark.llm.bwt_merge import merged, repeated_intervals, transformed
 from tidemark.llm.components import components
 from tidemark.llm.fm_index import FMIndex, repeated_windows
@@ -184,3 +184,24 @@ def test_components_of_a_long_path(spark):
     path = spark.range(60).selectExpr("id as a", "id + 1 as b").union(spark.sql("select 100L, 200L union all select 200L, 300L"))
     got = {r[0]: r[1] for r in components(path).collect()}
     assert got == {**{k: 0 for k in range(61)}, 100: 100, 200: 100, 300: 100}
+
+
+def test_suffixes_are_ordered_with_little_sorting(monkeypatch):
+    """Suffixes told apart by the first sort are not sorted again."""
+    rng = np.random.default_rng(5)
+    for sigma in (1, 3, 90):
+        symbols = rng.integers(1, sigma + 1, 3000)
+        ends = np.unique(np.append(rng.integers(0, 3000, 60), 2999))
+        symbols[ends] = 0
+        marks = {int(e): k for k, e in enumerate(ends)}
+
+        def suffix(at):
+            end = int(ends[np.searchsorted(ends, at)])
+            return [len(ends) + int(s) for s in symbols[at:end]] + [marks[end]]
+
+        sizes, sort = [], np.argsort
+        monkeypatch.setattr(fm_index.np, "argsort", lambda x, **kw: sizes.append(len(x)) or sort(x, **kw))
+        order = fm_index.suffix_order(symbols, ends)
+        monkeypatch.undo()
+        assert order.tolist() == sorted(range(3000), key=suffix)
+        assert sigma < 90 or sum(sizes) < 1.5 * 3000

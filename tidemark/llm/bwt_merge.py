@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tidemark.llm.fm_index import suffix_order
+from tidemark.llm.fm_index import dense, suffix_order
 
 #: Symbols of a part whose suffixes are sorted together.
 PART = 1 << 16
@@ -81,13 +81,12 @@ def repeated_intervals(texts: list[np.ndarray], length: int) -> tuple[np.ndarray
     offset and block. Suffixes of one block share these symbols."""
     # Symbols dense from 1, the same in all parts.
     lens = np.array([len(t) for t in texts])
-    values = np.unique(np.concatenate(texts), return_inverse=True)[1]
-    dense = np.split(values, np.cumsum(lens)[:-1])
+    parts = np.split(dense(np.concatenate(texts)) - 1, np.cumsum(lens)[:-1])
     transforms, orders, held, size = [], [], [], 0
-    for k, t in enumerate(dense):
+    for k, t in enumerate(parts):
         held.append(t)
         size += len(t)
-        if size >= PART or k == len(dense) - 1:
+        if size >= PART or k == len(parts) - 1:
             transform, order = transformed(held)
             transforms.append(transform)
             orders.append(order)

@@ -9,23 +9,52 @@ from __future__ import annotations
 import numpy as np
 
 
+def dense(symbols: np.ndarray) -> np.ndarray:
+    """Symbols numbered from 1 by their order."""
+    if len(symbols) and symbols.dtype.kind in "iu" and symbols.min() >= 0 and symbols.max() < 4 * len(symbols) + 256:
+        used = np.zeros(int(symbols.max()) + 1, np.int64)
+        used[symbols] = 1
+        return np.cumsum(used)[symbols]
+    return np.unique(symbols, return_inverse=True)[1].astype(np.int64) + 1
+
+
 def suffix_order(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Positions of all suffixes in order, by prefix doubling. ``ends`` are the places of the end
-    marks; these are different from each other and smaller than any symbol."""
+    """Positions of all suffixes in order, by prefix doubling. ``ends`` are the ascending places of the end
+    marks, the last symbol among them; these are different from each other and smaller than any symbol.
+
+    The first sort takes as many symbols as fit a number; then only suffixes that still share their rank are
+    sorted. A rank is the place of the first suffix that has it.
+    """
     n = len(symbols)
-    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64) + len(ends)
-    rank[ends] = np.arange(len(ends))
-    step = 1
-    while True:
-        following = np.zeros(n, np.int64)
-        following[:n - step] = rank[step:] + 1
-        key = rank * (n + len(ends) + 2) + following
-        order = np.argsort(key, kind="stable")
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
-        if rank[order[-1]] == n - 1:
-            return order
+    code = dense(symbols)
+    code[ends] = 0
+    bits = int(code.max()).bit_length()
+    step = max(1, 63 // max(1, bits))
+    places = np.arange(n)
+    left = ends[np.searchsorted(ends, places)] - places  # symbols before the end mark
+    key = code
+    for k in range(1, step):
+        key = key << bits
+        key[:n - k] |= np.where(left[:n - k] > k, code[k:], 0)
+    order = np.argsort(key, kind="stable")
+    new = np.ones(n + 1, bool)
+    # Two suffixes that end alike are told apart by their end marks, which rise with the place.
+    new[1:-1] = (key[order[1:]] != key[order[:-1]]) | (left[order[1:]] < step)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new[:-1], places, 0))
+    slots = np.nonzero(~(new[:-1] & new[1:]))[0]
+    while len(slots):
+        at = order[slots]
+        key = rank[at] * n + rank[at + step]
+        by = np.argsort(key, kind="stable")
+        at, key = at[by], key[by]
+        new = np.ones(len(at) + 1, bool)
+        new[1:-1] = key[1:] != key[:-1]
+        order[slots] = at
+        rank[at] = np.maximum.accumulate(np.where(new[:-1], slots, 0))
+        slots = slots[~(new[:-1] & new[1:])]
         step *= 2
+    return order
 
 
 class WaveletTree:
