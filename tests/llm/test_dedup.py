@@ -2,14 +2,16 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 import xxhash
 from llm_rows import ODD
 
-from tidemark.llm import fm_index, simhash, substring_dedup, suffix_dedup
+from tidemark.llm import fm_index, packing, segments, simhash, substring_dedup, suffix_dedup, wordcodes
 from tidemark.llm.bwt_merge import merged, repeated_intervals, transformed
 from tidemark.llm.components import components
 from tidemark.llm.fm_index import FMIndex, repeated_windows
@@ -205,3 +207,50 @@ def test_suffixes_are_ordered_with_little_sorting(monkeypatch):
         monkeypatch.undo()
         assert order.tolist() == sorted(range(3000), key=suffix)
         assert sigma < 90 or sum(sizes) < 1.5 * 3000
+
+
+def test_a_shard_takes_few_bytes_a_symbol():
+    """Of near copies, where most windows stay to the last round; the merge once took 80 and more."""
+    rng = np.random.default_rng(5)
+    passage = rng.integers(97, 123, 163, dtype=np.uint8)
+    texts = [passage.copy() for _ in range(2000)]
+    for text in texts:
+        text[rng.integers(163)] = rng.integers(97, 123)
+    size, ranks, starts = 2000 * 163, np.arange(2000), np.zeros(2000, np.int64)
+    tracemalloc.start()
+    try:
+        bits = suffix_dedup.later_windows(texts, None, ranks, starts, 100)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    seen, late = set(), []
+    for text in texts:
+        windows = [text[i:i + 100].tobytes() for i in range(64)]
+        late.append(sum(1 << i for i, w in enumerate(windows) if w in seen))
+        seen.update(windows)
+    assert bits.tolist() == late
+    assert peak / size < 60
+
+
+def test_other_operators_find_no_tables_of_the_packer():
+    codes = wordcodes.kept_codes(public_tokenizers.path("word_bpe_49k.json"), packing._packed, 1000)
+    codes[b"word"]
+    assert wordcodes.kept_codes.cache_info().currsize
+    assert list(segments._shards(None, segments.Shape(100, 40), "uint8")(iter([]))) == []
+    assert not wordcodes.kept_codes.cache_info().currsize
+
+
+def test_an_id_is_one_object_in_all_words():
+    codes = wordcodes.WordCodes(public_tokenizers.path("word_bpe_49k.json"), packing._packed, 1000)
+    found = [k for c in "abcdefgh" for k in codes.ids(f"thing{c}zqx".encode())]
+    assert max(found) > 300 and len({id(k) for k in found}) == len(set(found)) < len(found)
+
+
+def test_texts_are_returned_in_small_parts(spark, make):
+    """More rows than are cut together: each keeps its own, in either operator."""
+    rows = [(k, f"{k} " + " ".join(f"w{(k // 2) * 50 + j}" for j in range(40)) if k % 7 else None) for k in range(700)]
+    expected, got = bytes_kept(rows, 100), suffix_dedup.without_repeats(make(rows).coalesce(1)).collect()
+    assert len(got) == 700 and all((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == expected[r.doc_id, r.row.text or ""] for r in got)
+    words = {d: v for (d, _), v in words_kept(rows, 35).items()}
+    again = substring_dedup.without_repeats(make(rows).coalesce(1)).collect()
+    assert len(again) == 700 and all((r.n_words, r.n_removed, r.kept_sha256) == words[r.doc_id] for r in again)

@@ -20,6 +20,11 @@ from tidemark.llm.fm_index import dense, suffix_order
 PART = 1 << 16
 
 
+def narrow(numbers: np.ndarray) -> np.ndarray:
+    """The same numbers, none of them negative, in the smallest type that holds them all."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max()) if len(numbers) else 0))
+
+
 def transformed(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The transform of some texts, in which 0 stands for the end mark before a text, and the order of their
     suffixes, as places in the texts laid end to end with an end mark after each."""
@@ -30,7 +35,7 @@ def transformed(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     inner[ends] = False
     joined[inner] = np.concatenate(texts).astype(np.int64) + 1
     order = suffix_order(joined, ends)
-    return joined[order - 1], order
+    return narrow(joined[order - 1]), order.astype(np.int32)
 
 
 def merged(transforms: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,8 +60,8 @@ def merged(transforms: list[np.ndarray], length: int) -> tuple[np.ndarray, np.nd
     code = symbol
     if step == 2:
         reaches &= symbol[back] > 0
-        code, back = (symbol[back] * wide + symbol), back[back]
-    code = code.astype(np.uint16 if step == 2 or wide <= 1 << 16 else np.int64)
+        code, back = symbol[back].astype(np.uint16) * wide + symbol, back[back]
+    code = code.astype(np.uint16 if step == 2 or wide <= 1 << 16 else np.int64, copy=False)
 
     order = np.arange(size, dtype=np.int32)
     block = np.zeros(size, np.int32)
@@ -64,7 +69,7 @@ def merged(transforms: list[np.ndarray], length: int) -> tuple[np.ndarray, np.nd
         on = reaches[order]
         order, block = order[on], block[on]
         codes = code[order]
-        by = np.argsort(codes, kind="stable")
+        by = np.argsort(codes, kind="stable").astype(np.int32)
         codes, block = codes[by], block[by]
         new = np.ones(len(by) + 1, bool)
         new[1:-1] = (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])
@@ -81,7 +86,7 @@ def repeated_intervals(texts: list[np.ndarray], length: int) -> tuple[np.ndarray
     offset and block. Suffixes of one block share these symbols."""
     # Symbols dense from 1, the same in all parts.
     lens = np.array([len(t) for t in texts])
-    parts = np.split(dense(np.concatenate(texts)) - 1, np.cumsum(lens)[:-1])
+    parts = np.split(narrow(dense(np.concatenate(texts)) - 1), np.cumsum(lens)[:-1])
     transforms, orders, held, size = [], [], [], 0
     for k, t in enumerate(parts):
         held.append(t)
@@ -92,8 +97,8 @@ def repeated_intervals(texts: list[np.ndarray], length: int) -> tuple[np.ndarray
             orders.append(order)
             held, size = [], 0
     rows, block = merged(transforms, length)
-    bases = np.cumsum([0] + [len(x) for x in orders[:-1]])
+    bases = np.cumsum([0] + [len(x) for x in orders[:-1]]).tolist()
     at = np.concatenate([order + base for order, base in zip(orders, bases)])[rows]  # only now are suffixes located
-    begin = np.cumsum(lens + 1) - lens - 1
-    text = np.searchsorted(begin, at, side="right") - 1
+    begin = (np.cumsum(lens + 1) - lens - 1).astype(np.int32)
+    text = (np.searchsorted(begin, at, side="right") - 1).astype(np.int32)
     return text, at - begin[text], block

@@ -28,11 +28,13 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import settled, texts
+from tidemark.llm.common import settled, texts, without_tables
 
 #: Windows of a segment at most; their bits fit a long.
 PIECE = 64
 CHUNK = 1 << 18
+#: Texts that are cut and returned together.
+ROWS = 256
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -44,7 +46,7 @@ class Shape:
     length: int
     gram: int
     dense: int = 20_000
-    shard: int = 1 << 20
+    shard: int = 1 << 19
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -186,6 +188,7 @@ def _occurrences(rows: DataFrame, alphabet: Alphabet, shape: Shape) -> DataFrame
             ["anchor", "segment", "doc_id", "mark", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        without_tables()
         for batch in batches:
             parts, size = [], 0
             for k, text in enumerate(batch.column("text")):
@@ -232,6 +235,7 @@ def _shards(work: ShardWork, shape: Shape, dtype: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole anchors are gathered until a shard is full; rows come sorted by anchor and segment."""
+        without_tables()
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
@@ -265,6 +269,7 @@ def _fetch(rows: DataFrame, need: DataFrame, alphabet: Alphabet, shape: Shape) -
     names = ["anchor", "segment", "copies", "doc_id", "mark", "place", "symbols"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        without_tables()
         for batch in batches:
             held, size = [], 0
             for k in range(batch.num_rows):

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import settled, texts
+from tidemark.llm.common import settled, texts, without_tables
 from tidemark.llm.components import components
 
 BITS, HALF, RADIUS = 64, 23, 3
@@ -60,8 +60,9 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     rows = texts(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        without_tables()
         for batch in batches:
-            values = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
+            values = [fingerprint(t.as_py(), shingle) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.array(values, np.uint64).view(np.int64), pa.int64())], ["doc_id", "fp"])
 

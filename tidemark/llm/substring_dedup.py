@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.fm_index import repeated_windows
-from tidemark.llm.segments import WORDS, Shape, covered, repeats
+from tidemark.llm.segments import ROWS, WORDS, Shape, covered, repeats
 
 
 def without_repeats(docs: DataFrame, length: int = 35, gram: int = 8, dense: int = 20_000) -> DataFrame:
@@ -33,7 +33,7 @@ def without_repeats(docs: DataFrame, length: int = 35, gram: int = 8, dense: int
     found = repeats(docs, WORDS, Shape(length, gram, dense), work, others_only=False).drop("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             total, removed, kept, digest = [], [], [], []
             lists, tags = batch.column("found"), batch.column("tag").to_pylist()
             for k, text in enumerate(batch.column("text")):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.bwt_merge import repeated_intervals
-from tidemark.llm.segments import BYTES, Shape, covered, repeats
+from tidemark.llm.segments import BYTES, ROWS, Shape, covered, repeats
 
 
 def later_windows(texts: list[np.ndarray], windows: np.ndarray, ranks: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -47,7 +47,7 @@ def without_repeats(docs: DataFrame, length: int = 100, gram: int = 40, dense: i
     found = repeats(docs, BYTES, Shape(length, gram, dense), work, others_only=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             total, removed, spans, kept, digest = [], [], [], [], []
             lists, tags = batch.column("found"), batch.column("tag").to_pylist()
             for k, text in enumerate(batch.column("text")):

@@ -12,6 +12,8 @@ from functools import lru_cache
 import regex
 from tokenizers import Tokenizer
 
+from tidemark.llm.common import emptied_by
+
 
 def _byte_letters() -> dict[int, str]:
     """The printable letter that byte-level vocabularies use for each byte."""
@@ -57,6 +59,7 @@ class WordCodes(Recent):
         self.model = self.tokenizer.model
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self.parts = Recent(self._part, limit // 2)
+        self.same: dict[int, int] = {}  # an id is one object, in however many words
         self.split = self._splitter(path)
 
     @staticmethod
@@ -70,7 +73,7 @@ class WordCodes(Recent):
 
     def _part(self, part: bytes) -> tuple[int, ...]:
         mapped = part.decode() if part.isascii() else part.decode("latin-1").translate(self.letters)
-        return tuple([t.id for t in self.model.tokenize(mapped)])
+        return tuple([self.same.setdefault(k, k) for k in [t.id for t in self.model.tokenize(mapped)]])
 
     def ids(self, word: bytes) -> tuple[int, ...]:
         """Printable Latin words are their own normal forms; their parts go to the model directly.
@@ -94,3 +97,6 @@ class WordCodes(Recent):
 def kept_codes(path: str, keep, limit: int) -> WordCodes:
     """One table for each worker process, tokenizer and use."""
     return WordCodes(path, keep, limit)
+
+
+emptied_by(kept_codes.cache_clear)
