@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from llm_rows import ODD
 
-from tidemark.llm import fm_index, packing, segments, simhash, substring_dedup, suffix_dedup, wordcodes
+from tidemark.llm import bwt_merge, fm_index, packing, segments, simhash, substring_dedup, suffix_dedup, wordcodes
 from tidemark.llm.bwt_merge import merged, repeated_intervals, transformed
 from tidemark.llm.components import components
 from tidemark.llm.fm_index import FMIndex, repeated_windows
@@ -133,6 +133,21 @@ def test_the_merge_rests_on_the_order_of_each_part():
     assert len(merged([first, rng.permutation(second)], 100)[0]) == 0
 
 
+@pytest.mark.parametrize("length", [99, 100])
+def test_the_merge_sorts_only_rows_that_become_whole_windows(monkeypatch, length):
+    """Each of 200 alike texts has 103 symbols and few windows; once a round took all rows that had not run out yet."""
+    rng = np.random.default_rng(8)
+    text = rng.integers(1, 90, 103)
+    transforms = [transformed([text] * 100)[0] for _ in range(2)]
+    sizes, sort = [], np.argsort
+    monkeypatch.setattr(bwt_merge.np, "argsort", lambda x, **kw: sizes.append(len(x)) or sort(x, **kw))
+    rows, block = merged(transforms, length)
+    monkeypatch.undo()
+    windows = len(text) - length + 1
+    assert len(rows) == 200 * windows and (np.bincount(block)[np.unique(block)] == 200).all()
+    assert max(sizes[len(transforms):]) == 200 * windows
+
+
 def test_many_documents_without_an_id(spark, make):
     passage = " ".join(f"shared{k}" for k in range(40))
     rows = [(None, f"{' '.join(f'a{k}x{j}' for j in range(30))} {passage} {' '.join(f'b{k}x{j}' for j in range(30))}") for k in range(150)]

@@ -7,7 +7,8 @@ suffix. The merged order starts as one block, the parts one after another, and i
 is sorted by the first h symbols. A round walks the rows in their order and sends each to the bucket of the
 symbol before its suffix, which keeps the order inside a bucket; two neighbours stay in one block when
 they came from one block. So the rounds yield the interleaving and all common prefixes up to the length
-wanted, and no suffix of the whole shard is ever compared again.
+wanted, and no suffix of the whole shard is ever compared again. Only rows with that many symbols before them
+in their text take part: they become the suffixes that long, all others run out on the way.
 """
 
 from __future__ import annotations
@@ -38,12 +39,24 @@ def transformed(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return narrow(joined[order - 1]), order.astype(np.int32)
 
 
+def reaching(back: np.ndarray, reaches: np.ndarray, rounds: int) -> np.ndarray:
+    """The rows that can go ``back`` so many rounds, each from a row that ``reaches`` the next. Goes by doubling."""
+    rows = at = np.arange(len(back), dtype=np.int32)
+    while rounds:
+        if rounds & 1:
+            on = reaches[at]
+            rows, at = rows[on], back[at[on]]
+        rounds >>= 1
+        if rounds:
+            reaches, back = reaches & reaches[back], back[back]
+    return rows
+
+
 def merged(transforms: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows whose suffixes share their first ``length`` symbols with another's, in merged order, and the block
     of each: those of one block share these symbols. Rows are counted through all transforms.
 
-    A row alone in its block stays alone however its suffix is extended, so it leaves at once; so do rows
-    whose suffixes have no more symbols before them in their text.
+    A row alone in its block stays alone however its suffix is extended, so it leaves at once.
     """
     size = sum(map(len, transforms))
     back = np.empty(size, np.int32)  # the row of the suffix that is longer by one symbol
@@ -63,11 +76,9 @@ def merged(transforms: list[np.ndarray], length: int) -> tuple[np.ndarray, np.nd
         code, back = symbol[back].astype(np.uint16) * wide + symbol, back[back]
     code = code.astype(np.uint16 if step == 2 or wide <= 1 << 16 else np.int64, copy=False)
 
-    order = np.arange(size, dtype=np.int32)
-    block = np.zeros(size, np.int32)
+    order = reaching(back, reaches, length // step)
+    block = np.zeros(len(order), np.int32)
     for _ in range(length // step):
-        on = reaches[order]
-        order, block = order[on], block[on]
         codes = code[order]
         by = np.argsort(codes, kind="stable").astype(np.int32)
         codes, block = codes[by], block[by]
