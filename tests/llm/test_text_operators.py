@@ -50,6 +50,17 @@ def test_shared_passages_are_encoded_once():
     assert encoder.made - made <= 3 and encoder.reused >= made - 3
 
 
+def test_words_of_one_part_share_its_packed_ids(tokenizer):
+    """Once each spelling was tokenized into strings of its own."""
+    encoder = bpe.Encoder(bpe.Coding(PATH))
+    assert encoder.codes[b"Thisthing"] is encoder.codes[b"THISTHING"] is encoder.codes[b"thisthing"]
+    for word in ("Thisthing,", "naïve", "it's", "日本", "<|endoftext|>", "\x1f", "x" * 300):
+        assert np.frombuffer(encoder.codes[word.encode()], "<u4").tolist() == tokenizer.encode(word, add_special_tokens=False).ids
+    for text in ("", " \n", "\x1f \x1f", "a", "Thisthing, 日本 \x1f it's<|endoftext|>\t" * 200):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text) == (len(ids), " ".join(map(str, ids)).encode(), tokenizer.decode(ids, skip_special_tokens=False).encode())
+
+
 def test_packing(spark, make, tokenizer):
     rows = given(spark, 80) + [r for r in ODD if r[0] not in (4, 7)] + TRICKY
     options = packing.Packing(PATH, size=256, block=8)

@@ -15,7 +15,8 @@ leave their task, so nothing is shuffled.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import texts
-from tidemark.llm.wordcodes import WordCodes
+from tidemark.llm.wordcodes import PackedCodes
 
 #: Bytes that the rolling hash sees, and the average length of a chunk (a power of two).
 WINDOW, AVERAGE = 32, 1024
@@ -43,7 +44,7 @@ class Coding:
 def cuts(data: bytes, average: int = AVERAGE) -> list[int]:
     """Ends of the chunks: where the sum of the values of the last bytes, each rotated by its
     distance, has its low bits zero. It depends on these bytes alone."""
-    values = _SEEDS[np.frombuffer(data, np.uint8)]
+    values = _SEEDS.take(np.frombuffer(data, np.uint8))
     if len(values) <= WINDOW:
         return [len(data)]
     rolled, span = values.copy(), 1
@@ -61,44 +62,41 @@ def cuts(data: bytes, average: int = AVERAGE) -> list[int]:
     return found
 
 
+def _packed(ids: Sequence[int]) -> bytes:
+    """32 bits for each id."""
+    return array("I", ids).tobytes()
+
+
 class Chunk:
     """Head and tail are parts of words; between them lie whole words, encoded."""
 
-    __slots__ = ("head", "tail", "count", "ids", "text")
+    __slots__ = ("head", "tail", "ids")
 
-    def __init__(self, data: bytes, codes: WordCodes) -> None:
+    def __init__(self, data: bytes, codes: PackedCodes) -> None:
         first = next((k for k, b in enumerate(data) if b in _SPACE), len(data))
         if first == len(data):  # no white space: all of it belongs to the join
-            self.head, self.tail, self.count, self.ids, self.text = data, None, 0, b"", b""
+            self.head, self.tail, self.ids = data, None, b""
             return
         last = max(data.rfind(c) for c in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r"))
         self.head, self.tail = data[:first], data[last + 1:]
-        self.count, self.ids, self.text = spelled(data[first:last], codes)
-
-
-def spelled(data: bytes, codes: WordCodes) -> tuple[int, bytes, bytes]:
-    """Number of ids of whole words, the ids in decimal, and their decoded form, space-joined."""
-    found = [c for c in map(codes.__getitem__, data.split()) if c[0]]
-    return sum(c[0] for c in found), b" ".join([c[1] for c in found]), b" ".join([c[2] for c in found])
+        self.ids = b"".join([*map(codes.__getitem__, data[first:last].split())])
 
 
 class Encoder:
     """Encodes texts chunk by chunk."""
 
     def __init__(self, coding: Coding) -> None:
-        self.codes = WordCodes(coding.path, self._spell, coding.words)
+        self.codes = PackedCodes(coding.path, _packed, coding.words)
+        tokenizer = self.codes.tokenizer
+        if tokenizer.decoder is not None:
+            raise ValueError("decoding by words is exact only for a tokenizer that joins its tokens by spaces")
+        # Each with a space after it, so that those of some ids, taken at once, lie in one buffer as joined text.
+        self.numbers, self.names = (pa.array([f"{x} " for x in found], pa.large_string()) for found in zip(
+            *((k, tokenizer.id_to_token(k) or "") for k in range(tokenizer.get_vocab_size()))))
         self.chunks: dict[bytes, Chunk] = {}
         self.limit = coding.chunks
-        if self.codes.tokenizer.decoder is not None:
-            raise ValueError("decoding by words is exact only for a tokenizer that joins its tokens by spaces")
-        names = (self.codes.tokenizer.id_to_token(k) or "" for k in range(self.codes.tokenizer.get_vocab_size()))
-        self.names = [(str(k).encode(), name.encode()) for k, name in enumerate(names)]
         self.reused = self.made = 0
 
-    def _spell(self, ids: list[int]) -> tuple[int, bytes, bytes]:
-        both = [self.names[k] for k in ids]
-        return len(ids), b" ".join([x[0] for x in both]), b" ".join([x[1] for x in both])
-
     def _chunk(self, data: bytes) -> Chunk:
         found = self.chunks.get(data)
         if found is None:
@@ -112,16 +110,8 @@ class Encoder:
 
     def encode(self, text: str) -> tuple[int, bytes, bytes]:
         """Number of ids, the ids in decimal joined by spaces, and the decoded text."""
-        data, count, ids, out = text.encode(), 0, [], []
+        data, found = text.encode(), []
         pending, at = [], 0  # parts of the word that runs over the joins so far
-
-        def add(n: int, some: bytes, spelled_: bytes) -> None:
-            nonlocal count
-            if n:
-                count += n
-                ids.append(some)
-                out.append(spelled_)
-
         for end in cuts(data):
             chunk = self._chunk(data[at:end])
             at = end
@@ -129,12 +119,20 @@ class Encoder:
             if chunk.tail is None:
                 continue
             if joint := b"".join(pending):
-                add(*self.codes[joint])
-            add(chunk.count, chunk.ids, chunk.text)
+                found.append(self.codes[joint])
+            found.append(chunk.ids)
             pending = [chunk.tail]
         if joint := b"".join(pending):
-            add(*self.codes[joint])
-        return count, b" ".join(ids), b" ".join(out)
+            found.append(self.codes[joint])
+        ids = pa.array(np.frombuffer(b"".join(found), np.uint32))
+        return len(ids), self._spelled(self.numbers, ids), self._spelled(self.names, ids)
+
+    @staticmethod
+    def _spelled(spellings: pa.LargeStringArray, ids: pa.UInt32Array) -> bytes:
+        if not len(ids):
+            return b""
+        _, ends, data = spellings.take(ids).buffers()
+        return data.slice(0, int(np.frombuffer(ends, np.int64, len(ids) + 1)[-1]) - 1).to_pybytes()
 
 
 _ENCODERS: dict[Coding, Encoder] = {}
@@ -161,8 +159,8 @@ def coded(docs: DataFrame, coding: Coding) -> DataFrame:
                 found = [encoder.encode(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array([f[0] for f in found], pa.int64()),
-                    pa.array([f[1].decode() for f in found], pa.string()), pa.array([hashlib.sha256(f[1]).hexdigest() for f in found], pa.string()),
-                    pa.array([f[2].decode() for f in found], pa.string()), pa.array([hashlib.sha256(f[2]).hexdigest() for f in found], pa.string()),
+                    pa.array([f[1] for f in found], pa.string()), pa.array([hashlib.sha256(f[1]).hexdigest() for f in found], pa.string()),
+                    pa.array([f[2] for f in found], pa.string()), pa.array([hashlib.sha256(f[2]).hexdigest() for f in found], pa.string()),
                 ], ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256"])
 
     return rows.mapInArrow(run, f"doc_id {id_type}, n_tokens long, ids string, ids_sha256 string, decoded string, decoded_sha256 string")

@@ -7,6 +7,7 @@ words one after another. Words repeat a lot; the ids of a bounded number of thos
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from functools import lru_cache
 
 import regex
@@ -71,32 +72,65 @@ class WordCodes(Recent):
         split = [p.get("pattern", {}).get("Regex", "") for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
         return regex.compile(split[0]) if kinds == ["NFC", "Replace", "Lowercase"] and split and split[0] else None
 
+    def mapped(self, part: bytes) -> str:
+        """A part as the model takes it."""
+        return part.decode() if part.isascii() else part.decode("latin-1").translate(self.letters)
+
     def _part(self, part: bytes) -> tuple[int, ...]:
-        mapped = part.decode() if part.isascii() else part.decode("latin-1").translate(self.letters)
-        return tuple([self.same.setdefault(k, k) for k in [t.id for t in self.model.tokenize(mapped)]])
+        return tuple([self.same.setdefault(k, k) for k in [t.id for t in self.model.tokenize(self.mapped(part))]])
 
-    def ids(self, word: bytes) -> tuple[int, ...]:
+    def parts_of(self, word: bytes) -> Sequence[bytes] | None:
         """Printable Latin words are their own normal forms; their parts go to the model directly.
-        All else, and what may hold a special token, goes through the whole tokenizer."""
+        All else, and what may hold a special token, goes through the whole tokenizer: None."""
         if self.split:
             low = word.lower()
             if low.isalpha():  # of bytes: ASCII letters only
-                return self.parts[low]
+                return (low,)
             if low[-1] in _MARKS and low[:-1].isalpha():
-                return self.parts[low[:-1]] + self.parts[low[-1:]]
+                return low[:-1], low[-1:]
             text = word.decode()
             if (word.isascii() or max(text) < "Ā") and text.isprintable() and b"<|" not in word:
                 low = text.lower()
-                if low.isalpha():
-                    return self.parts[low.encode()]
-                return tuple([k for part in self.split.findall(low) for k in self.parts[part.encode()]])
+                return (low.encode(),) if low.isalpha() else [part.encode() for part in self.split.findall(low)]
+        return None
+
+    def ids(self, word: bytes) -> tuple[int, ...]:
+        parts = self.parts_of(word)
+        if parts is None:
+            return self.whole(word)
+        if len(parts) == 1:
+            return self.parts[parts[0]]
+        return tuple([k for part in parts for k in self.parts[part]])
+
+    def whole(self, word: bytes) -> tuple[int, ...]:
+        """What the whole tokenizer makes of a word."""
         return tuple(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
 
 
+class PackedCodes(WordCodes):
+    """The same where ``keep`` makes bytes of ids, so that a word's are those of its parts, one after another.
+
+    A part is packed once, and shared by the words that are nothing else.
+    """
+
+    def __init__(self, path: str, keep, limit: int) -> None:
+        super().__init__(path, keep, limit)
+        self.keep, self.make, self.parts.make = keep, self._word, self._packed
+
+    def _packed(self, part: bytes) -> bytes:
+        return self.keep([t.id for t in self.model.tokenize(self.mapped(part))])
+
+    def _word(self, word: bytes) -> bytes:
+        parts = self.parts_of(word)
+        if parts is None:
+            return self.keep(self.whole(word))
+        return self.parts[parts[0]] if len(parts) == 1 else b"".join([self.parts[part] for part in parts])
+
+
 @lru_cache(4)
-def kept_codes(path: str, keep, limit: int) -> WordCodes:
+def kept_codes(path: str, keep, limit: int) -> PackedCodes:
     """One table for each worker process, tokenizer and use."""
-    return WordCodes(path, keep, limit)
+    return PackedCodes(path, keep, limit)
 
 
 emptied_by(kept_codes.cache_clear)
